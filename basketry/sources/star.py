@@ -28,6 +28,22 @@ PAGE_TYPES = {
     "error": "search",
 }
 
+# The columns used of each table.  Given to the reader, so that no job has
+# to look into the files before a query starts.
+TABLES = {
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string,
+                 o_totalprice double, o_orderdate timestamp_ntz""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_quantity double,
+                   l_extendedprice double, l_discount double""",
+    "part": """p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,
+               p_retailprice double""",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": """event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
+                 value double, props string""",
+}
+
 SESSION_GAP_SECONDS = 12 * 3600
 UNCATEGORISED_BRAND = "Brand#25"
 SESSION_SLOTS = 24
@@ -44,9 +60,13 @@ class StarSchema:
         use_utc(spark)
         self.spark = spark
         self.directory = directory
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        if name not in self._tables:
+            reader = self.spark.read.schema(TABLES[name])
+            self._tables[name] = reader.parquet(f"{self.directory}/{name}.parquet")
+        return self._tables[name]
 
     # -- transactions -----------------------------------------------------------------
 
