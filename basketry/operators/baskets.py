@@ -54,11 +54,8 @@ def copurchase_pairs(
     small = basket.join(large_ids, "transaction_id", "left_anti")
     large = basket.join(large_ids, "transaction_id")
 
-    listed = _listed_pairs(small)
     pairs = (
-        listed.unionByName(_listed_pairs_in_large(listed, large))
-        .groupBy("product_a", "product_b")
-        .agg(F.sum("n").alias("n"))
+        _with_large_baskets(_listed_pairs(small), large)
         .unionByName(_best_pairs_in_large(large, top_n, min_support))
         .groupBy("product_a", "product_b")
         .agg(F.max("n").alias("co_purchase_count"))
@@ -83,105 +80,94 @@ def _listed_pairs(small: DataFrame) -> DataFrame:
     )
 
 
-def _listed_pairs_in_large(listed: DataFrame, large: DataFrame) -> DataFrame:
-    """What large baskets add to pairs known from small ones."""
+def _with_large_baskets(listed: DataFrame, large: DataFrame) -> DataFrame:
+    """Listed pairs with what large baskets add to their counts."""
     of_a = large.select(
         "transaction_id", F.col("product_id").alias("product_a"), F.col("times").alias("times_a")
     )
     of_b = large.select(
         "transaction_id", F.col("product_id").alias("product_b"), F.col("times").alias("times_b")
     )
+    added = F.coalesce(F.col("times_a") * F.col("times_b"), F.lit(0))
     return (
-        listed.select("product_a", "product_b")
-        .join(of_a, "product_a")
-        .join(of_b, ["transaction_id", "product_b"])
+        listed.join(of_a, "product_a", "left")
+        .join(of_b, ["transaction_id", "product_b"], "left")
         .groupBy("product_a", "product_b")
-        .agg(F.sum(F.col("times_a") * F.col("times_b")).alias("n"))
+        .agg((F.max("n") + F.sum(added)).alias("n"))
     )
 
 
 def _best_pairs_in_large(large: DataFrame, top_n: int, min_support: int) -> DataFrame:
-    """The ``top_n`` pairs by their count over large baskets alone.
+    """At least the ``top_n`` best pairs by their count over large baskets alone.
 
-    Added to the listed pairs' full counts, these cannot miss a winner: a pair outside
-    them has ``top_n`` pairs ahead of it that only gain from small baskets.
+    Together with the listed pairs' full counts these cannot miss a winner: a pair in
+    neither has ``top_n`` pairs ahead of it that only gain from small baskets.
     """
-    mark = F.xxhash64("transaction_id", "times")
-    second_mark = F.xxhash64("times", "transaction_id", F.lit(1))
-    classes = (
-        large.groupBy("product_id")
-        .agg(
-            # Equal for products in the same large baskets the same number of times.
-            F.sum(mark.cast("decimal(20,0)")).alias("mark_1"),
-            F.sum(second_mark.cast("decimal(20,0)")).alias("mark_2"),
-            F.count("*").alias("mark_3"),
-            F.sum(F.col("times") * F.col("most_times")).alias("most_pairs"),
-        )
-        # With its commonest partner in every basket the product would still fall short.
-        .filter(F.col("most_pairs") >= min_support)
+    in_class = large.join(_classes(large, top_n, min_support), "product_id").select(
+        "transaction_id", "times", "product_id", "members"
     )
-    same_class = Window.partitionBy("mark_1", "mark_2", "mark_3").orderBy("product_id")
-    # The smallest products of a class are enough for its first top_n pairs.
-    members = (
-        classes.withColumn("place", F.row_number().over(same_class))
-        .filter(F.col("place") <= top_n + 1)
-        .withColumn("class_id", F.first("product_id").over(same_class))
-        .select("class_id", "place", "product_id")
-    )
-    first_two = members.filter(F.col("place") <= 2).groupBy("class_id").agg(
-        F.min("product_id").alias("first_member"), F.max("product_id").alias("second_member")
-    )
-    in_basket = large.join(
-        first_two.withColumn("product_id", F.col("class_id")), "product_id"
-    ).select("transaction_id", "times", "class_id", "first_member", "second_member")
-
-    a, b = in_basket.alias("a"), in_basket.alias("b")
+    a, b = in_class.alias("a"), in_class.alias("b")
     same_basket = F.col("a.transaction_id") == F.col("b.transaction_id")
-    has_pair = (F.col("a.class_id") < F.col("b.class_id")) | (
-        (F.col("a.class_id") == F.col("b.class_id"))
-        & (F.col("a.first_member") < F.col("a.second_member"))
+    within = F.col("a.product_id") == F.col("b.product_id")
+    has_pair = (F.col("a.product_id") < F.col("b.product_id")) | (
+        within & (F.size("a.members") > 1)
     )
-    within = F.col("a.class_id") == F.col("b.class_id")
+    members_a, members_b = F.col("members_a"), F.col("members_b")
+    same = members_a[0] == members_b[0]
     class_pairs = (
         a.join(b, same_basket & has_pair)
-        .groupBy(
-            F.col("a.class_id").alias("class_a"),
-            F.col("b.class_id").alias("class_b"),
-            F.col("a.first_member").alias("first_a"),
-            F.when(within, F.col("a.second_member"))
-            .otherwise(F.col("b.first_member"))
-            .alias("first_b"),
+        .groupBy(F.col("a.product_id").alias("class_a"), F.col("b.product_id").alias("class_b"))
+        .agg(
+            F.sum(F.col("a.times") * F.col("b.times")).alias("n"),
+            F.any_value("a.members").alias("members_a"),
+            F.any_value("b.members").alias("members_b"),
         )
-        .agg(F.sum(F.col("a.times") * F.col("b.times")).alias("n"))
         .filter(F.col("n") >= min_support)
-        # A class is named after its first member, so this is the order of first pairs.
-        .orderBy(F.desc("n"), "first_a", "first_b")
+        # The order of their first pairs; no other class pair can hold a winner.
+        .orderBy(F.desc("n"), "class_a", F.when(same, members_b[1]).otherwise(members_b[0]))
         .limit(top_n)
     )
-    member_a = members.select(
-        F.col("class_id").alias("class_a"), F.col("product_id").alias("member_a")
+    spelled_out = class_pairs.select(
+        "n", "members_b", same.alias("within"), F.explode(members_a).alias("a")
+    ).select("n", "within", "a", F.explode(members_b).alias("b"))
+    return spelled_out.filter(~F.col("within") | (F.col("a") < F.col("b"))).select(
+        F.least("a", "b").alias("product_a"), F.greatest("a", "b").alias("product_b"), "n"
     )
-    member_b = members.select(
-        F.col("class_id").alias("class_b"), F.col("product_id").alias("member_b")
+
+
+def _classes(large: DataFrame, top_n: int, min_support: int) -> DataFrame:
+    """Classes of interchangeable products: the first product, which names the class,
+    and its first members, enough for the first ``top_n`` pairs."""
+    mark = F.xxhash64("transaction_id", "times").cast("decimal(20,0)")
+    other_mark = F.xxhash64("times", "transaction_id", F.lit(1)).cast("decimal(20,0)")
+    marks = ["mark", "other_mark", "n_baskets"]
+    products = (
+        large.groupBy("product_id")
+        .agg(
+            # A 128-bit sum, equal for products in the same baskets the same number of times.
+            F.sum(mark).alias("mark"),
+            F.sum(other_mark).alias("other_mark"),
+            F.count("*").alias("n_baskets"),
+            F.sum(F.col("times") * F.col("most_times")).alias("most_pairs"),
+        )
+        # Even with its basket's commonest partner each time, the product must get there.
+        .filter(F.col("most_pairs") >= min_support)
     )
+    place = F.row_number().over(Window.partitionBy(*marks).orderBy("product_id"))
     return (
-        class_pairs.join(member_a, "class_a")
-        .join(member_b, "class_b")
-        .filter(
-            (F.col("class_a") != F.col("class_b")) | (F.col("member_a") < F.col("member_b"))
-        )
-        .select(
-            F.least("member_a", "member_b").alias("product_a"),
-            F.greatest("member_a", "member_b").alias("product_b"),
-            "n",
-        )
+        products.withColumn("place", place)
+        .filter(F.col("place") <= top_n + 1)
+        .groupBy(*marks)
+        .agg(F.array_sort(F.collect_list("product_id")).alias("members"))
+        .select(F.col("members")[0].alias("product_id"), "members")
     )
 
 
 def _described(
     pairs: DataFrame, counts: DataFrame, products: DataFrame, digits: int | None
 ) -> DataFrame:
-    """The few chosen pairs with names and similarity."""
+    """The chosen pairs with names and similarity; they are few, so they are broadcast
+    and neither the catalog nor the purchase counts move."""
     for side in ("a", "b"):
         key = f"product_{side}"
         purchases = counts.select(
@@ -190,7 +176,7 @@ def _described(
         names = products.select(
             F.col("product_id").alias(key), F.col("name").alias(f"name_{side}")
         )
-        pairs = pairs.join(purchases, key).join(names, key)
+        pairs = F.broadcast(F.broadcast(pairs).join(purchases, key)).join(names, key)
     together = F.col("co_purchase_count")
     either = F.col("purchases_a") + F.col("purchases_b") - together
     return pairs.select(

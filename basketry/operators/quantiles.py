@@ -67,9 +67,11 @@ def _first_buckets(values: DataFrame, qs: Sequence[float]) -> DataFrame:
 def _narrowed(values: DataFrame, targets: DataFrame, previous: int, shift: int) -> DataFrame:
     """Each target's bucket narrowed down, its rank now counted inside the new bucket."""
     # Two rows per quantile, whatever the data: small enough to broadcast.
+    # Null-safe equality, as no key is null: an inferred null filter would make Spark
+    # group the values once per pass instead of reusing the first shuffle.
+    held = F.shiftright("value", previous).eqNullSafe(F.col("prefix"))
     histogram = (
-        values.withColumn("prefix", F.shiftright("value", previous))
-        .join(F.broadcast(targets), "prefix")
+        values.join(F.broadcast(targets), held)
         .groupBy("target", "weight", "rank", F.shiftright("value", shift).alias("bucket"))
         .agg(F.sum("n").alias("n"))
     )

@@ -1,0 +1,59 @@
+"""Small hand-written entities with the schemas of the source documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import types as T
+
+from basketry.operators.clean import clean_transactions
+from basketry.sources import schemas
+
+
+def frame(spark: SparkSession, entity: str, records: list[dict]) -> DataFrame:
+    """Records of an entity; fields that are left out are null."""
+    schema = T.StructType.fromDDL(schemas.BY_ENTITY[entity])
+    rows = [tuple(record.get(name) for name in schema.names) for record in records]
+    return spark.createDataFrame(rows, schema)
+
+
+def item(product: str | None, quantity: int = 1, price: float = 1.0) -> tuple:
+    return (product, quantity, price, round(quantity * price, 2))
+
+
+def txn(number: int, **fields) -> dict:
+    record = {
+        "transaction_id": f"t{number}",
+        "user_id": "u1",
+        "timestamp": "2024-03-01T10:00:00",
+        "total": 10.0,
+        "discount": 0.0,
+        "status": "completed",
+        "items": [],
+    }
+    return record | fields
+
+
+def transactions(spark: SparkSession, *records: dict) -> DataFrame:
+    return clean_transactions(frame(spark, "transactions", list(records)))
+
+
+def sessions(spark: SparkSession, *records: dict) -> DataFrame:
+    numbered = [{"session_id": f"s{i}", "user_id": "u1"} | r for i, r in enumerate(records)]
+    return frame(spark, "sessions", numbered)
+
+
+def dicts(df: DataFrame) -> list[dict]:
+    return [row.asDict(recursive=True) for row in df.collect()]
+
+
+def by(df: DataFrame, *keys: str) -> dict:
+    """Rows by one key column, or by a tuple of several."""
+    found = {}
+    for row in df.collect():
+        key = tuple(row[k] for k in keys)
+        assert key not in found, f"two rows for {key}"
+        found[key[0] if len(keys) == 1 else key] = row
+    return found
+
+
+__all__ = ["Row", "by", "dicts", "frame", "item", "sessions", "transactions", "txn"]
