@@ -1,0 +1,88 @@
+import random
+from collections import Counter
+from itertools import combinations
+
+import pytest
+
+from basketry.operators import baskets
+
+
+def lines_of(spark, contents: dict[str, list[int]]):
+    rows = [(t, p, "completed") for t, products in contents.items() for p in products]
+    rows.append(("open", 1, "shipped"))
+    return spark.createDataFrame(rows, "transaction_id string, product_id int, status string")
+
+
+def catalog_of(spark, products):
+    return spark.createDataFrame(
+        [(p, f"name {p}") for p in sorted(products)], "product_id int, name string"
+    )
+
+
+def brute_force(contents, catalog, top_n, min_support):
+    """The definition: every pair of lines in one basket whose products are in order."""
+    together, bought = Counter(), Counter()
+    for products in contents.values():
+        bought.update(products)
+        for a, b in combinations(sorted(products), 2):
+            if a != b and a in catalog and b in catalog:
+                together[a, b] += 1
+    ranked = sorted((-n, a, b) for (a, b), n in together.items() if n >= min_support)
+    return [
+        (a, b, -n, round(-n / (bought[a] + bought[b] + n), 4)) for n, a, b in ranked[:top_n]
+    ]
+
+
+def found(spark, contents, catalog, **options):
+    result = baskets.copurchase_pairs(
+        lines_of(spark, contents), catalog_of(spark, catalog), **options
+    )
+    return [
+        (r.product_a, r.product_b, r.co_purchase_count, pytest.approx(r.jaccard_similarity, abs=1e-4))
+        for r in result.collect()
+    ]
+
+
+def test_repeats_count_and_unknown_products_make_no_pair(spark):
+    contents = {"t1": [1, 1, 2], "t2": [2, 3], "t3": [2, 3], "t4": [2, 9], "t5": [2, 9]}
+    expected = brute_force(contents, {1, 2, 3}, 10, 2)
+    assert [row[:3] for row in expected] == [(1, 2, 2), (2, 3, 2)]
+    assert found(spark, contents, {1, 2, 3}) == expected
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_large_baskets_give_the_same_counts_without_listing_their_pairs(spark, seed):
+    """Baskets over the limit, among them copies, repeats and one with most of the lines."""
+    rng = random.Random(seed)
+    catalog = set(range(40)) - {5}
+    contents = {
+        f"s{i}": rng.choices(range(40), k=rng.randint(1, 4)) for i in range(rng.choice([0, 60]))
+    }
+    shared = rng.sample(range(40), 30)
+    for i in range(rng.randint(1, 4)):
+        contents[f"copy{i}"] = list(shared)
+    if seed % 2:
+        contents["huge"] = [p for p in range(40) for _ in range(rng.randint(1, 3))]
+    if seed > 3:
+        contents |= {f"big{i}": rng.sample(range(40), 12) for i in range(5)}
+    for top_n in (1, 10):
+        expected = brute_force(contents, catalog, top_n, 2)
+        assert found(spark, contents, catalog, top_n=top_n, max_basket=4) == expected
+
+
+def test_limit_does_not_change_the_result(spark):
+    rng = random.Random(11)
+    contents = {f"t{i}": rng.choices(range(15), k=rng.randint(1, 9)) for i in range(80)}
+    expected = brute_force(contents, set(range(15)), 25, 3)
+    for max_basket in (1, 5, 200):
+        options = dict(top_n=25, min_support=3, max_basket=max_basket)
+        assert found(spark, contents, set(range(15)), **options) == expected
+
+
+def test_purchase_counts_are_lines(spark):
+    counted = baskets.product_purchase_counts(lines_of(spark, {"t1": [1, 1], "t2": [1, 2]}))
+    assert {r.product_id: r.purchase_count for r in counted.collect()} == {1: 3, 2: 1}
+
+
+def test_no_lines_give_no_pairs(spark):
+    assert found(spark, {}, {1, 2}) == []
