@@ -19,8 +19,3 @@ def whole_days_between(first: Column, last: Column) -> Column:
     """Full 24-hour days from ``first`` to ``last``, rounded down."""
     micros = F.unix_micros(last) - F.unix_micros(first)
     return F.floor(micros / F.lit(86_400_000_000.0)).cast("bigint")
-
-
-def use_utc(spark) -> None:
-    """Read and write zone-less timestamps as UTC in this session."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.numeric import cents, dollars
-from basketry.functions.times import use_utc
+from basketry.session import prepare
 
 # Session attributes, picked by the number in an event's properties.
 REFERRERS = ("direct", "email", "social", "search_engine", "affiliate")
@@ -57,8 +57,7 @@ class StarSchema:
     """Lazy entities over the Parquet tables in one directory."""
 
     def __init__(self, spark: SparkSession, directory: str):
-        use_utc(spark)
-        self.spark = spark
+        self.spark = prepare(spark)
         self.directory = directory
         self._tables: dict[str, DataFrame] = {}
 
@@ -78,7 +77,7 @@ class StarSchema:
             self.table("orders")
             .join(self._order_totals(), F.col("o_orderkey") == F.col("l_orderkey"), "left")
             .select(
-                order.alias("transaction_id"),
+                order.cast("string").alias("transaction_id"),
                 F.when(
                     order % 4 != 0, F.concat_ws("#", F.col("o_custkey"), slot)
                 ).alias("session_id"),
@@ -112,11 +111,15 @@ class StarSchema:
         )
 
     def order_lines(self, transactions: DataFrame) -> DataFrame:
-        """Line items with the columns they share with their (cleaned) transaction."""
+        """Line items with the columns they share with their (cleaned) transaction.
+
+        Both sides of the join are shuffled for it by the text id, so Spark can split an
+        order with a large part of all lines over several tasks.
+        """
         price = cents(F.col("l_extendedprice"))
         quantity = F.col("l_quantity").cast("bigint")
         items = self.table("lineitem").select(
-            F.col("l_orderkey").alias("transaction_id"),
+            F.col("l_orderkey").cast("string").alias("transaction_id"),
             F.col("l_partkey").alias("product_id"),
             quantity.alias("quantity"),
             dollars(F.floor((price * 2 + quantity) / (quantity * 2))).alias("unit_price"),

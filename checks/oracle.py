@@ -43,13 +43,13 @@ def stamp(column: str) -> str:
 
 CTES: dict[str, str] = {
     "line": f"""
-        SELECT l_orderkey AS transaction_id, l_partkey AS product_id,
+        SELECT CAST(l_orderkey AS VARCHAR) AS transaction_id, l_partkey AS product_id,
                CAST(l_quantity AS BIGINT) AS quantity,
                {cents("l_extendedprice")} AS sub_cents,
                CAST(round(l_discount * 100) AS BIGINT) AS off_pct
         FROM lineitem""",
     "txn": f"""
-        SELECT o_orderkey AS transaction_id,
+        SELECT CAST(o_orderkey AS VARCHAR) AS transaction_id,
                CASE WHEN o_orderkey % 4 <> 0
                     THEN o_custkey || '#' || (1 + (o_orderkey // 4) % 24) END AS session_id,
                o_custkey AS user_id, o_orderdate AS ts, CAST(o_orderdate AS DATE) AS day,
@@ -63,7 +63,7 @@ CTES: dict[str, str] = {
                    {big("(2 * sum(sub_cents * off_pct) + 100) // 200")} AS off_cents,
                    count(*) AS n_lines
             FROM line GROUP BY transaction_id) totals
-          ON o_orderkey = totals.transaction_id""",
+          ON CAST(o_orderkey AS VARCHAR) = totals.transaction_id""",
     "done": "SELECT * FROM txn WHERE status = 'completed'",
     "sold": """
         SELECT l.*, d.user_id, d.day, d.off_cents, d.n_lines,
