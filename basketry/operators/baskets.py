@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.numeric import ratio
 from basketry.operators.revenue import completed
+from basketry.sources.scratch import written
 
 
 def product_purchase_counts(lines: DataFrame) -> DataFrame:
@@ -38,32 +39,36 @@ def copurchase_pairs(
     A product repeated in a basket counts each time.  Products outside the catalog make
     no pair.  Pairs of equal count come in product order.
     """
-    # One row per product and basket: repeats collapse before anything is paired.
-    basket = (
+    # One row per product and basket, at most as many as the catalog has products: repeats
+    # collapse before anything is paired.  The branches below read it, so it is written.
+    in_basket = Window.partitionBy("transaction_id")
+    bought = written(
         completed(lines)
-        .filter(F.col("transaction_id").isNotNull() & F.col("product_id").isNotNull())
+        .filter(F.col("product_id").isNotNull())
         .groupBy("transaction_id", "product_id")
         .agg(F.count("*").alias("times"))
         .join(products.select("product_id"), "product_id", "left_semi")
+        .withColumn("n_products", F.count("*").over(in_basket))
+        .withColumn("most_times", F.max("times").over(in_basket)),
+        "baskets",
     )
-    large_ids = (
-        basket.groupBy("transaction_id")
-        .agg(F.count("*").alias("n_products"), F.max("times").alias("most_times"))
-        .filter(F.col("n_products") > max_basket)
-    )
-    small = basket.join(large_ids, "transaction_id", "left_anti")
-    large = basket.join(large_ids, "transaction_id")
+    basket = bought.filter(F.col("transaction_id").isNotNull())
+    small = basket.filter(F.col("n_products") <= max_basket)
+    large = basket.filter(F.col("n_products") > max_basket)
 
+    in_order = [F.desc("n"), "product_a", "product_b"]
+    best_listed = _with_large_baskets(_listed_pairs(small), large).orderBy(*in_order).limit(top_n)
     pairs = (
-        _with_large_baskets(_listed_pairs(small), large)
-        .unionByName(_best_pairs_in_large(large, top_n, min_support))
+        best_listed.unionByName(_best_pairs_in_large(large, top_n, min_support))
         .groupBy("product_a", "product_b")
-        .agg(F.max("n").alias("co_purchase_count"))
-        .filter(F.col("co_purchase_count") >= min_support)
-        .orderBy(F.desc("co_purchase_count"), "product_a", "product_b")
+        .agg(F.max("n").alias("n"))
+        .filter(F.col("n") >= min_support)
+        .orderBy(*in_order)
         .limit(top_n)
+        .withColumnRenamed("n", "co_purchase_count")
     )
-    return _described(pairs, product_purchase_counts(lines), products, digits)
+    purchases = bought.groupBy("product_id").agg(F.sum("times").alias("purchase_count"))
+    return _described(pairs, purchases, products, digits)
 
 
 def _listed_pairs(small: DataFrame) -> DataFrame:
@@ -88,20 +93,23 @@ def _with_large_baskets(listed: DataFrame, large: DataFrame) -> DataFrame:
     of_b = large.select(
         "transaction_id", F.col("product_id").alias("product_b"), F.col("times").alias("times_b")
     )
-    added = F.coalesce(F.col("times_a") * F.col("times_b"), F.lit(0))
-    return (
-        listed.join(of_a, "product_a", "left")
-        .join(of_b, ["transaction_id", "product_b"], "left")
+    added = (
+        listed.select("product_a", "product_b")
+        .join(of_a, "product_a")
+        .join(of_b, ["transaction_id", "product_b"])
         .groupBy("product_a", "product_b")
-        .agg((F.max("n") + F.sum(added)).alias("n"))
+        .agg(F.sum(F.col("times_a") * F.col("times_b")).alias("added"))
+    )
+    return listed.join(added, ["product_a", "product_b"], "left").select(
+        "product_a", "product_b", (F.col("n") + F.coalesce("added", F.lit(0))).alias("n")
     )
 
 
 def _best_pairs_in_large(large: DataFrame, top_n: int, min_support: int) -> DataFrame:
     """At least the ``top_n`` best pairs by their count over large baskets alone.
 
-    Together with the listed pairs' full counts these cannot miss a winner: a pair in
-    neither has ``top_n`` pairs ahead of it that only gain from small baskets.
+    Together with the best listed pairs these cannot miss a winner: a pair that is not
+    listed and not here has ``top_n`` pairs ahead of it that only gain from small baskets.
     """
     in_class = large.join(_classes(large, top_n, min_support), "product_id").select(
         "transaction_id", "times", "product_id", "members"

@@ -1,0 +1,35 @@
+"""Intermediate tables that several branches of a job read."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+CHECKPOINT_DIR = "spark.checkpoint.dir"
+
+
+def scratch_dir(spark: SparkSession) -> str | None:
+    """The shared folder the session names for intermediate data.
+
+    Where none is named, a local session gets a temporary folder; on a cluster there is
+    no folder all machines are known to share, so None.
+    """
+    named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
+    if named:
+        return named.rstrip("/")
+    if spark.sparkContext.master.startswith("local"):
+        return f"{tempfile.gettempdir()}/basketry"
+    return None
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, so that it is computed once and
+    a lost executor costs a re-read; ``df`` itself where there is no such folder."""
+    directory = scratch_dir(df.sparkSession)
+    if directory is None:
+        return df
+    path = f"{directory}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

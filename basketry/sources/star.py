@@ -47,6 +47,7 @@ TABLES = {
 SESSION_GAP_SECONDS = 12 * 3600
 UNCATEGORISED_BRAND = "Brand#25"
 SESSION_SLOTS = 24
+SHARDS = 1024
 
 
 def _pick(names: tuple[str, ...], index: Column) -> Column:
@@ -77,7 +78,7 @@ class StarSchema:
             self.table("orders")
             .join(self._order_totals(), F.col("o_orderkey") == F.col("l_orderkey"), "left")
             .select(
-                order.cast("string").alias("transaction_id"),
+                order.alias("transaction_id"),
                 F.when(
                     order % 4 != 0, F.concat_ws("#", F.col("o_custkey"), slot)
                 ).alias("session_id"),
@@ -110,25 +111,30 @@ class StarSchema:
             )
         )
 
-    def order_lines(self, transactions: DataFrame) -> DataFrame:
-        """Line items with the columns they share with their (cleaned) transaction.
+    def order_lines(self, transactions: DataFrame, with_discount: bool = False) -> DataFrame:
+        """Line items with the columns they share with their (cleaned) transaction; the
+        discount and the number of lines only where asked for.
 
-        Both sides of the join are shuffled for it by the text id, so Spark can split an
-        order with a large part of all lines over several tasks.
+        Spark splits an order with a large part of all lines over several tasks if both
+        sides were shuffled for this very join.  With the discount, transactions are
+        already partitioned by order from the join that brought it in; the second key
+        has them shuffled again.
         """
         price = cents(F.col("l_extendedprice"))
         quantity = F.col("l_quantity").cast("bigint")
         items = self.table("lineitem").select(
-            F.col("l_orderkey").cast("string").alias("transaction_id"),
+            F.col("l_orderkey").alias("transaction_id"),
             F.col("l_partkey").alias("product_id"),
             quantity.alias("quantity"),
             dollars(F.floor((price * 2 + quantity) / (quantity * 2))).alias("unit_price"),
             F.col("l_extendedprice").alias("subtotal"),
         )
-        shared = transactions.select(
-            "transaction_id", "user_id", "timestamp", "date", "status", "discount", "n_lines"
-        )
-        return items.join(shared, "transaction_id")
+        shared = ["transaction_id", "user_id", "timestamp", "date", "status"]
+        if not with_discount:
+            return items.join(transactions.select(shared), "transaction_id")
+        shard = F.pmod("transaction_id", F.lit(SHARDS)).alias("shard")
+        discounted = transactions.select(*shared, "discount", "n_lines", shard)
+        return items.select("*", shard).join(discounted, ["transaction_id", "shard"]).drop("shard")
 
     # -- catalog and users ------------------------------------------------------------
 

@@ -38,8 +38,8 @@ class Entities(StarSchema):
     def transactions(self) -> DataFrame:
         return clean.clean_transactions(self.raw_transactions())
 
-    def lines(self) -> DataFrame:
-        return self.order_lines(self.transactions())
+    def lines(self, with_discount: bool = False) -> DataFrame:
+        return self.order_lines(self.transactions(), with_discount)
 
     def users(self) -> DataFrame:
         return clean.clean_users(self.raw_users(), F.to_date(F.lit(AS_OF)))
@@ -128,11 +128,13 @@ def product_popularity(e: Entities) -> DataFrame:
 
 
 def revenue_by_category(e: Entities) -> DataFrame:
-    return revenue.revenue_by_category(e.lines(), e.products())
+    return revenue.revenue_by_category(e.lines(with_discount=True), e.products())
 
 
 def category_revenue_allocated(e: Entities) -> DataFrame:
-    return revenue.category_revenue_allocated(e.lines(), e.products(missing=None), digits=2)
+    return revenue.category_revenue_allocated(
+        e.lines(with_discount=True), e.products(missing=None), digits=2
+    )
 
 
 def product_sales_daily(e: Entities) -> DataFrame:
@@ -141,7 +143,11 @@ def product_sales_daily(e: Entities) -> DataFrame:
 
 def kpi_summary(e: Entities) -> DataFrame:
     return summary.kpi_summary(
-        e.transactions(), e.sessions(), e.lines(), e.products(missing=None), digits=2
+        e.transactions(),
+        e.sessions(),
+        e.lines(with_discount=True),
+        e.products(missing=None),
+        digits=2,
     )
 
 
