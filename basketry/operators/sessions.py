@@ -106,7 +106,8 @@ def device_os_matrix(
     """Completed revenue in thousands (1 decimal): a row per device type, a column per
     OS, 'unknown' where the session does not say.
 
-    Pass ``os_values`` when they are known; without, Spark runs a job to find them.
+    Pass ``os_values`` (with 'unknown') when all are known, as others get no column;
+    without, Spark runs a job to find them.
     """
     unknown = F.lit("unknown")
     devices = sessions.select(

@@ -20,10 +20,10 @@ def kpi_summary(
     """One row: total revenue, mean order value, best converting referrer with its
     conversion %, and the top category by net revenue.
 
-    The last three come in as scalar subqueries, each over a handful of grouped rows.
+    The last three come in as scalar subqueries over grouped rows.
     """
     total = cents(F.col("total"))
-    best = referrer_conversion(sessions).limit(1)
+    best = referrer_conversion(sessions).limit(1).select(F.struct("referrer", "conversion_pct"))
     top = category_revenue_allocated(lines, products, n=1)
     return (
         completed(transactions)
@@ -31,11 +31,12 @@ def kpi_summary(
             dollars(F.sum(total)).alias("total_revenue"),
             money_mean(F.sum(total), F.count(total), digits).alias("avg_order_value"),
         )
+        .withColumn("best", best.scalar())
         .select(
             "total_revenue",
             "avg_order_value",
-            best.select("referrer").scalar().alias("best_referrer"),
-            rounded(best.select("conversion_pct").scalar(), digits).alias("best_conversion_pct"),
+            F.col("best.referrer").alias("best_referrer"),
+            rounded(F.col("best.conversion_pct"), digits).alias("best_conversion_pct"),
             top.select("category_name").scalar().alias("top_category"),
         )
     )

@@ -1,0 +1,32 @@
+from types import SimpleNamespace
+
+from basketry.sources import scratch
+
+
+def session(master, named=None):
+    conf = SimpleNamespace(get=lambda key, default=None: named)
+    context = SimpleNamespace(
+        master=master, getConf=lambda: SimpleNamespace(get=lambda key: None)
+    )
+    return SimpleNamespace(conf=conf, sparkContext=context)
+
+
+def test_named_folder_comes_first_and_clusters_get_no_local_one():
+    assert scratch.scratch_dir(session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    assert scratch.scratch_dir(session("local[2]", "/mnt/shared")) == "/mnt/shared"
+    assert scratch.scratch_dir(session("yarn")) is None
+    assert scratch.scratch_dir(session("local[2]")).endswith("/basketry")
+
+
+def test_written_table_is_read_back_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "scratch_dir", lambda spark: str(tmp_path))
+    first = scratch.written(spark.range(5), "numbers")
+    second = scratch.written(spark.range(7), "numbers")
+    assert first.count() == 5 and second.count() == 7
+    assert "FileScan parquet" in first._jdf.queryExecution().executedPlan().toString()
+
+
+def test_without_a_folder_the_frame_is_used_as_it_is(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "scratch_dir", lambda spark: None)
+    df = spark.range(3)
+    assert scratch.written(df, "numbers") is df
