@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 
 from basketry.operators import revenue, summary
+from basketry.operators.baskets import product_purchase_counts
 from tests.build import by, dicts, frame, item, sessions, transactions, txn
 
 
@@ -142,3 +143,12 @@ def test_empty_input_gives_empty_reports(spark):
     visits = frame(spark, "sessions", [])
     kpis = summary.kpi_summary(df, visits, lines, products).first()
     assert kpis.total_revenue is None and kpis.best_referrer is None
+
+
+def test_nested_scan_reads_one_item_field_and_pushes_the_status(spark, tmp_path):
+    path = str(tmp_path / "transactions")
+    baskets(spark).write.parquet(path)
+    lines = revenue.order_lines(spark.read.parquet(path))
+    plan = product_purchase_counts(lines)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(status,completed)" in plan
+    assert "ReadSchema: struct<items:array<struct<product_id:string>>,status:string>" in plan
