@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from basketry.llm import chat, kdtree, lines, oracle, quality
 from basketry.llm.common import read_table
-from basketry.llm import quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+SHARDS = 40
+
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -19,9 +22,81 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"quality.{name}" for name in names])
 
 
+def op2_budgeted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], given.schema)
+    windows = chat.budgeted_windows(given.unionByName(more))
+    new = lambda turns: F.slice(turns, F.col("n_context") + 1, F.size(turns))
+    read = windows.withColumn("turns", chat.read_turns(F.col("formatted"))).select(
+        "conv_id",
+        "window",
+        new(F.col("turns")).alias("turns"),
+        chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+        F.length("formatted").alias("chars"),
+    )
+    told = lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
+    parts = read.groupBy("conv_id").agg(
+        F.sort_array(
+            F.collect_list(
+                F.struct(
+                    "window",
+                    F.array_join(F.transform("turns", told), "").alias("told"),
+                    "loss",
+                )
+            )
+        ).alias("parts"),
+        F.sum(F.size("turns")).alias("n_turns"),
+        F.sum("chars").alias("formatted_chars"),
+    )
+    joined = lambda name: F.array_join(F.col(f"parts.{name}"), "")
+    return parts.select(
+        "conv_id",
+        "n_turns",
+        F.sha2(joined("told"), 256).alias("turns_sha256"),
+        F.length(joined("loss")).cast("long").alias("loss_chars"),
+        F.sha2(joined("loss"), 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+def op7_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = kdtree.document_metadata(read_table(spark, sf_dir, "documents"))
+    dims = [F.log2("size"), F.col("doc_id"), F.col("source_code"), F.col("lang_code")]
+    placed = kdtree.kd_tree_shards(rows, "size", dims, ["doc_id", "text_crc32", "size"], SHARDS)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return lines.line_dedup(docs).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
+_QUERIES = (
+    op1_quality_rules,
+    op2_budgeted_windows,
+    op7_kd_tree_shards,
+    op9_line_dedup,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules,)}
+    return {query.__name__: query for query in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_quality_rules": oracle.quality_rules(),
+        "op2_budgeted_windows": oracle.chat_windows(),
+        "op9_line_dedup": oracle.line_dedup(),
+    }
