@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, kdtree, lines, oracle, quality
-from basketry.llm.common import read_table
+from basketry.llm import chat, decontaminate, kdtree, lines, oracle, quality, simhash
+from basketry.llm.common import checkpointed, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,11 +82,35 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "leak.n_words",
+        "leak.n_hit",
+        F.size("leak.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("leak.items", ","), 256).alias("items_sha256"),
+        (F.col("leak.n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    printed = simhash.with_fingerprints(docs, "text", "fingerprint", shingle=3)
+    grouped = simhash.fingerprint_groups(checkpointed(printed.drop("text")), max_bits=2)
+    return grouped.select(
+        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
 _QUERIES = (
     op1_quality_rules,
     op2_budgeted_windows,
+    op4_decontamination,
     op7_kd_tree_shards,
     op9_line_dedup,
+    op10_simhash,
 )
 
 
