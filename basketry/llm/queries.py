@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, decontaminate, kdtree, lines, oracle, quality, simhash
+from basketry.llm import chat, decontaminate, kdtree, lines, oracle, packing, quality, simhash, tokens
 from basketry.llm.common import checkpointed, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 40
+CAPACITY = 2048
+PACKED_BY, COUNTED_BY = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +63,20 @@ def op2_budgeted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    path = public_tokenizers.path(PACKED_BY)
+    return packing.best_fit_packing(docs, path, CAPACITY, keep_ids=False)
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = tokens.token_counts(docs, public_tokenizers.path(COUNTED_BY))
+    return tokens.with_bytes(counted).select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > CAPACITY).alias("over_limit")
+    )
+
+
 def op7_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = kdtree.document_metadata(read_table(spark, sf_dir, "documents"))
     dims = [F.log2("size"), F.col("doc_id"), F.col("source_code"), F.col("lang_code")]
@@ -108,6 +125,8 @@ _QUERIES = (
     op1_quality_rules,
     op2_budgeted_windows,
     op4_decontamination,
+    op5_best_fit_packing,
+    op6_token_counts,
     op7_kd_tree_shards,
     op9_line_dedup,
     op10_simhash,
