@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, decontaminate, kdtree, lines, oracle, packing, quality, simhash, tokens
+from basketry.llm import chat, decontaminate, kdtree, lines, oracle, packing, quality, simhash, substrings, tokens
 from basketry.llm.common import checkpointed, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +99,13 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.substring_dedup(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256")
+    )
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
@@ -124,6 +131,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES = (
     op1_quality_rules,
     op2_budgeted_windows,
+    op3_substring_dedup,
     op4_decontamination,
     op5_best_fit_packing,
     op6_token_counts,
