@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, decontaminate, kdtree, lines, oracle, packing, quality, simhash, substrings, tokens
+from basketry.llm import (
+    chat,
+    decontaminate,
+    html,
+    kdtree,
+    lines,
+    oracle,
+    packing,
+    quality,
+    simhash,
+    substrings,
+    tokens,
+)
 from basketry.llm.common import checkpointed, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +104,11 @@ def op7_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.main_text(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return lines.line_dedup(docs).select(
@@ -136,6 +153,7 @@ _QUERIES = (
     op5_best_fit_packing,
     op6_token_counts,
     op7_kd_tree_shards,
+    op8_main_text,
     op9_line_dedup,
     op10_simhash,
 )

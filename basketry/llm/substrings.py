@@ -30,8 +30,6 @@ from basketry.llm.common import checkpointed, free_name
 from basketry.llm.fmindex import FMIndex
 
 WINDOW, PHRASE, STRIDE = 20, 8, 5
-#: Windows that can share an anchor: those that contain one phrase.
-SPAN = WINDOW - PHRASE + 1
 #: Distinct segments of one anchor above which its windows are grouped by their words.
 CROWD = 20_000
 #: Words of segments that one shard indexes, about.
@@ -57,27 +55,30 @@ def _hashes(found: list[bytes]) -> np.ndarray:
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def anchors(found: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(
+    found: list[bytes], window: int = WINDOW, phrase: int = PHRASE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """First windows, numbers of windows, anchors and hashes of all words of a text's segments."""
-    n = len(found) - WINDOW + 1
+    n = len(found) - window + 1
     if n <= 0:
         return (np.zeros(0, np.int64),) * 4
     hashes = _hashes(found)
-    phrases = np.zeros(len(found) - PHRASE + 1, np.uint64)
-    for k in range(PHRASE):
+    phrases = np.zeros(len(found) - phrase + 1, np.uint64)
+    for k in range(phrase):
         phrases = phrases * _FACTOR + hashes[k : k + len(phrases)]
     phrases ^= phrases >> np.uint64(31)
     phrases *= np.uint64(0xBF58476D1CE4E5B9)
     phrases ^= phrases >> np.uint64(29)
     # The leftmost of the least: where a phrase comes again within a window, equal windows
     # still agree on its place in them.
-    least = np.lib.stride_tricks.sliding_window_view(phrases, SPAN).argmin(axis=1)
+    least = np.lib.stride_tricks.sliding_window_view(phrases, window - phrase + 1)
+    least = least.argmin(axis=1)
     least += np.arange(n)
     first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
     sizes = np.diff(np.append(first, n))
     content = np.zeros(len(first), np.uint64)
-    for k in range(WINDOW + int(sizes.max()) - 1):
-        inside = k < sizes + WINDOW - 1
+    for k in range(window + int(sizes.max()) - 1):
+        inside = k < sizes + window - 1
         words = hashes[np.minimum(first + k, len(hashes) - 1)]
         content = np.where(inside, content * _FACTOR + words, content)
     return first, sizes, phrases[least[first]].view(np.int64), content.view(np.int64)
