@@ -146,14 +146,18 @@ def kd_tree_shards(
     columns that tell rows apart: only rows that agree in all of them are kept together.  A
     median bin of at most ``slack`` times a leaf's bytes is not refined further.  Sizes must
     not be null or negative.  Fewer rows than shards leave shards empty; an empty table has none.
+    Columns named ``shard`` or ``slot`` are replaced.
     """
-    keyed = rows.withColumn("_size", F.col(size))
+    rows = rows.drop("shard", "slot")
+    own = [f"_id{i}" for i in range(len(identity))]
+    names = [F.col(name).alias(o) for name, o in zip(identity, own, strict=True)]
     bounds = rows.agg(
         *[F.min(d.cast("double")).alias(f"min{i}") for i, d in enumerate(dims)],
         *[F.max(d.cast("double")).alias(f"max{i}") for i, d in enumerate(dims)],
         F.count(F.lit(1)).alias("rows"),
     ).first()
     top = (1 << PLACE_BITS) - 1
+    keys = []
     for i, d in enumerate(dims):
         low, high = bounds[f"min{i}"], bounds[f"max{i}"]
         wide = low is not None and high > low
@@ -162,9 +166,9 @@ def kd_tree_shards(
         ).cast("long")
         place = F.least(F.greatest(F.coalesce(place, F.lit(0)), F.lit(0)), F.lit(top))
         spread = F.shiftrightunsigned(F.xxhash64(*identity, F.lit(i)), 64 - (KEY_BITS - PLACE_BITS))
-        keyed = keyed.withColumn(
-            f"_key{i}", F.shiftleft(place, KEY_BITS - PLACE_BITS).bitwiseOR(spread)
-        )
+        key = F.shiftleft(place, KEY_BITS - PLACE_BITS).bitwiseOR(spread)
+        keys.append(key.alias(f"_key{i}"))
+    keyed = rows.select(F.struct("*").alias("_row"), F.col(size).alias("_size"), *names, *keys)
     root = _Node(0, shards)
     while nodes := [n for n in _open(root) if n.leaves > 1]:
         held = _choose_dims(keyed, root, nodes, len(dims))
@@ -180,8 +184,8 @@ def kd_tree_shards(
             n.children = [_Node(n.first, half), _Node(n.first + half, n.leaves - half)]
     placed = keyed.withColumn("shard", _place(root, lambda n: n.first).cast("int"))
     buckets = max(1, bounds["rows"] // ROWS_PER_BUCKET)
-    drop = ["_size", *[f"_key{i}" for i in range(len(dims))]]
-    return numbered(placed.drop(*drop), "shard", identity, "slot", buckets)
+    found = numbered(placed.select("_row", *own, "shard"), "shard", own, "slot", buckets)
+    return found.select("_row.*", "shard", "slot")
 
 
 def document_metadata(docs: DataFrame) -> DataFrame:

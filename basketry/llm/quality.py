@@ -52,10 +52,12 @@ class Limits:
 
 
 def _counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """One struct ``q`` of counts per document beside its columns."""
-    body = F.coalesce(F.col(text), F.lit(""))
+    """``row`` with a document's columns, its ``lang``, and a struct ``q`` of counts."""
+    body = F.coalesce(F.col("_text"), F.lit(""))
     n = F.size("_words")
-    step = docs.withColumn("_words", words(F.col(text)))
+    step = docs.select(
+        F.struct("*").alias("row"), F.col(text).alias("_text"), F.col(lang).alias("lang")
+    ).withColumn("_words", words(F.col("_text")))
     step = step.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
     at = lambda i, k: F.get(F.col("_hashes"), i + k)
     step = step.withColumn(
@@ -108,11 +110,12 @@ def _counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
     own = F.create_map(
         *[F.lit(x) for k, v in COMMON_WORDS.items() for x in (k, v)]
     )
-    step = step.withColumn("_own", F.split(own[F.col(lang)], " "))
+    step = step.withColumn("_own", F.split(own[F.col("lang")], " "))
     long_of = lambda c: c.cast("long")
     kept = {name: F.length(F.regexp_replace(body, rest, "")) for name, rest in CLASSES.items()}
-    return step.withColumn(
-        "_q",
+    return step.select(
+        "row",
+        "lang",
         F.struct(
             long_of(n).alias("n_words"),
             long_of(F.length(body) - kept["space"]).alias("word_chars"),
@@ -133,8 +136,8 @@ def _counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
                 ),
             ).alias("common"),
             long_of(F.length(body)).alias("n_chars"),
-        ),
-    ).drop("_words", "_hashes", "_grams", "_paired", "_starts", "_lines", "_common", "_own")
+        ).alias("q"),
+    )
 
 
 def _with_rest(parts: Column, total: Column) -> Column:
@@ -174,51 +177,51 @@ def quality_rules(
     """
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     counted = _counts(docs.drop("quality"), text, lang)
-    failed = (F.col("_q.n_words") < limits.min_words) | (
-        100 * F.col("_q.n_repeat_words") > limits.max_repeated_percent * F.col("_q.n_words")
+    failed = (F.col("q.n_words") < limits.min_words) | (
+        100 * F.col("q.n_repeat_words") > limits.max_repeated_percent * F.col("q.n_words")
     )
-    counted = checkpointed(counted.withColumn("_failed", failed))
-    part = lambda name, i: F.sum(F.get(F.col(f"_q.{name}"), F.lit(i)))
+    counted = checkpointed(counted.withColumn("failed", failed))
+    part = lambda name, i: F.sum(F.get(F.col(f"q.{name}"), F.lit(i)))
     references = (
-        counted.filter(~F.col("_failed"))
-        .groupBy(F.col(lang).alias("_lang"))
+        counted.filter(~F.col("failed"))
+        .groupBy(F.col("lang").alias("of"))
         .agg(
-            F.array(*[part("classes", i) for i in range(len(CLASSES))]).alias("_classes"),
-            F.array(*[part("common", i) for i in range(BINS)]).alias("_common"),
-            F.sum("_q.n_chars").alias("_chars"),
-            F.sum("_q.n_words").alias("_all_words"),
+            F.array(*[part("classes", i) for i in range(len(CLASSES))]).alias("all_classes"),
+            F.array(*[part("common", i) for i in range(BINS)]).alias("all_common"),
+            F.sum("q.n_chars").alias("all_chars"),
+            F.sum("q.n_words").alias("all_words"),
         )
     )
-    joined = counted.join(references, F.col(lang).eqNullSafe(F.col("_lang")), "left")
+    joined = counted.join(references, F.col("lang").eqNullSafe(F.col("of")), "left")
     distances = joined.withColumn(
-        "_class_distance",
+        "class_distance",
         F.when(
-            F.col("_q.n_chars") >= limits.min_chars,
+            F.col("q.n_chars") >= limits.min_chars,
             js_distance(
-                _with_rest(F.col("_q.classes"), F.col("_q.n_chars")),
-                _with_rest(F.col("_classes"), F.col("_chars")),
+                _with_rest(F.col("q.classes"), F.col("q.n_chars")),
+                _with_rest(F.col("all_classes"), F.col("all_chars")),
             ),
         ),
     ).withColumn(
-        "_word_distance",
+        "word_distance",
         F.when(
-            F.col("_q.n_words") >= limits.min_judged_words,
+            F.col("q.n_words") >= limits.min_judged_words,
             js_distance(
-                _with_rest(F.col("_q.common"), F.col("_q.n_words")),
-                _with_rest(F.col("_common"), F.col("_all_words")),
+                _with_rest(F.col("q.common"), F.col("q.n_words")),
+                _with_rest(F.col("all_common"), F.col("all_words")),
             ),
         ),
     )
-    far = (F.coalesce("_class_distance", F.lit(0.0)) > limits.max_class_distance) | (
-        F.coalesce("_word_distance", F.lit(0.0)) > limits.max_word_distance
+    far = (F.coalesce("class_distance", F.lit(0.0)) > limits.max_class_distance) | (
+        F.coalesce("word_distance", F.lit(0.0)) > limits.max_word_distance
     )
     return distances.withColumn(
         "quality",
         F.struct(
-            *[F.col(f"_q.{name}") for name in base],
-            F.col("_failed").alias("base_failed"),
-            F.col("_class_distance").alias("class_distance"),
-            F.col("_word_distance").alias("word_distance"),
-            (~F.col("_failed") & ~far).alias("kept"),
+            *[F.col(f"q.{name}") for name in base],
+            F.col("failed").alias("base_failed"),
+            "class_distance",
+            "word_distance",
+            (~F.col("failed") & ~far).alias("kept"),
         ),
-    ).select(*docs.drop("quality").columns, "quality")
+    ).select("row.*", "quality")
