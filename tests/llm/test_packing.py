@@ -1,0 +1,67 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from basketry.llm.packing import best_fit_packing, pack_lengths, placements
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_plans_place_every_piece_once(seed):
+    pick = random.Random(seed)
+    capacity = pick.choice([7, 30, 100, 2048])
+    counts = {s: pick.randint(0, 50) for s in pick.sample(range(1, capacity + 1), min(capacity, 40))}
+    content, seen = defaultdict(list), Counter()
+    for size, first, last, sequence, copies, offset in placements(counts, capacity):
+        for k in range(first, last):
+            assert (size, k) not in seen
+            seen[size, k] += 1
+            at = k - first
+            content[sequence + at // copies].append((offset + size * (at % copies), size))
+    assert Counter(size for size, _ in seen) == +Counter(counts)
+    for held in content.values():
+        end = 0
+        for offset, size in sorted(held):
+            assert offset == end
+            end += size
+        assert end <= capacity
+        assert sum(3 * size > capacity for _, size in held) <= 2
+
+
+def test_packing_is_tight():
+    pick = random.Random(1)
+    counts = Counter(min(2047, int(pick.lognormvariate(6, 1)) + 1) for _ in range(20_000))
+    used = sum(b.count for b in pack_lengths(counts, 2048))
+    assert used <= 1.01 * -(-sum(s * n for s, n in counts.items()) // 2048) + 1
+
+
+def test_pieces_hold_the_librarys_ids(spark):
+    tokenizer = Tokenizer.from_file(PATH)
+    pick = random.Random(2)
+    texts = [" ".join(pick.choices(["the", "river", "Éa", "42", "\n", "", "x<|endoftext|>"], k=k))
+             for k in (0, 1, 5, 40, 300, 400, 1999, 30, 31, 32)] + [None, "a " * 90]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3])]
+    found = best_fit_packing(spark.createDataFrame(rows, "doc_id long, text string"), PATH, 64).collect()
+    sequences = defaultdict(list)
+    for r in found:
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+        assert len(r["ids"]) == 4 * r["length"] and zlib.crc32(r["ids"]) == r["ids_crc32"]
+    for held in sequences.values():
+        held.sort()
+        assert [o for o, _ in held] == np.cumsum([0, *(n for _, n in held[:-1])]).tolist()
+        assert sum(n for _, n in held) <= 64
+    for ident, text in rows[:-1]:
+        if ident == 3:
+            continue
+        pieces = sorted((r["piece"], r["start"], r["ids"]) for r in found if r["doc_id"] == ident)
+        ids = np.frombuffer(b"".join(p[2] for p in pieces), "<u4").tolist()
+        assert ids == [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        sizes = [len(p[2]) // 4 for p in pieces]
+        assert sizes[1:] == [64] * (len(sizes) - 1)
+        assert [p[1] for p in pieces] == np.cumsum([0, *sizes[:-1]]).tolist()
