@@ -7,6 +7,7 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
 
@@ -19,12 +20,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the cluster's shared checkpoint folder.
 
     The folder is the session's ``spark.checkpoint.dir``.  Only where none is set, as in
-    tests on one machine, a temporary folder is used.
+    tests on one machine, a temporary folder is used.  The shuffle files that led to it are
+    no longer needed then and are removed at once, not when the driver's garbage is.
     """
-    context = df.sparkSession.sparkContext
+    session = df.sparkSession
+    context = session.sparkContext
     if not context.getConf().get("spark.checkpoint.dir") and not context.getCheckpointDir():
         context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint()
+    before = session.conf.get(CLEANUP)
+    session.conf.set(CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint()  # the setting counts where a plan is made
+    finally:
+        session.conf.set(CLEANUP, before)
 
 
 def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:

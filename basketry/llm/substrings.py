@@ -18,6 +18,8 @@ their own words instead, which gives the same first places.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -36,58 +38,107 @@ CROWD = 20_000
 SHARD_WORDS = 400_000
 MEMO = 500_000
 _NO_ID = -(1 << 63)
-_word_hashes: dict[bytes, int] = {}
+#: Words of one text up to which a place fits beside the hash that is compared.
+_PLACE_BITS = 24
+
+
+class _Hashes(dict):
+    """Hashes of words, those of common ones remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= MEMO:
+            self.clear()
+        self[word] = value = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+_hashes = _Hashes()
 
 
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().split()
 
 
-def _hashes(found: list[bytes]) -> np.ndarray:
-    memo = _word_hashes
-    if len(memo) > MEMO:
-        memo.clear()
-    for w in set(found).difference(memo):
-        memo[w] = xxhash.xxh3_64_intdigest(w)
-    return np.fromiter(map(memo.__getitem__, found), np.uint64, len(found))
+_FACTOR = 0x9E3779B97F4A7C15
+
 
+def _rolled(hashes: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of all runs of ``length`` words, from those of runs half as long."""
+    if length == 1:
+        return hashes
+    half = _rolled(hashes, length // 2)
+    factor = lambda n: np.uint64(pow(_FACTOR, n, 1 << 64))
+    rolled = half[: len(half) - length // 2] * factor(length // 2) + half[length // 2 :]
+    if length % 2:
+        rolled = rolled[:-1] * np.uint64(_FACTOR) + hashes[length - 1 :]
+    return rolled
 
-_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+def _least(values: np.ndarray, span: int) -> np.ndarray:
+    """The smallest of every ``span`` neighbours."""
+    size = 1
+    while 2 * size <= span:
+        values = np.minimum(values[:-size], values[size:])
+        size *= 2
+    rest = span - size
+    return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
 def anchors(
-    found: list[bytes], window: int = WINDOW, phrase: int = PHRASE
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First windows, numbers of windows, anchors and hashes of all words of a text's segments."""
-    n = len(found) - window + 1
-    if n <= 0:
-        return (np.zeros(0, np.int64),) * 4
-    hashes = _hashes(found)
-    phrases = np.zeros(len(found) - phrase + 1, np.uint64)
-    for k in range(phrase):
-        phrases = phrases * _FACTOR + hashes[k : k + len(phrases)]
+    texts: list[list[bytes]], window: int = WINDOW, phrase: int = PHRASE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Segments of texts, given as words: text, first window, number of windows, anchor, and a
+    hash of the words."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    total = int(sizes.sum())
+    if total < window:
+        return (np.zeros(0, np.int64),) * 5
+    if total >= 1 << _PLACE_BITS and len(texts) > 1:
+        middle = len(texts) // 2
+        low, high = (anchors(part, window, phrase) for part in (texts[:middle], texts[middle:]))
+        return tuple(
+            np.concatenate((x, y + middle if i == 0 else y))
+            for i, (x, y) in enumerate(zip(low, high, strict=True))
+        )
+    hashes = np.fromiter(
+        map(_hashes.__getitem__, itertools.chain.from_iterable(texts)), np.uint64, total
+    )
+    phrases = _rolled(hashes, phrase)
     phrases ^= phrases >> np.uint64(31)
     phrases *= np.uint64(0xBF58476D1CE4E5B9)
     phrases ^= phrases >> np.uint64(29)
     # The leftmost of the least: where a phrase comes again within a window, equal windows
     # still agree on its place in them.
-    least = np.lib.stride_tricks.sliding_window_view(phrases, window - phrase + 1)
-    least = least.argmin(axis=1)
-    least += np.arange(n)
-    first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-    sizes = np.diff(np.append(first, n))
-    content = np.zeros(len(first), np.uint64)
-    for k in range(window + int(sizes.max()) - 1):
-        inside = k < sizes + window - 1
-        words = hashes[np.minimum(first + k, len(hashes) - 1)]
-        content = np.where(inside, content * _FACTOR + words, content)
-    return first, sizes, phrases[least[first]].view(np.int64), content.view(np.int64)
-
-
-def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
-    offsets = np.cumsum([0, *map(len, values)])
-    flat = np.concatenate(values) if values else np.zeros(0, np.int64)
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, kind))
+    bits = _PLACE_BITS if total < 1 << _PLACE_BITS else total.bit_length()
+    place = np.uint64((1 << bits) - 1)
+    marked = (phrases & ~place) | np.arange(len(phrases), dtype=np.uint64)
+    least = (_least(marked, window - phrase + 1) & place).astype(np.int64)
+    # Windows that begin in one text and end in another are none.
+    ends = np.cumsum(sizes)
+    text_of = np.repeat(np.arange(len(texts)), np.maximum(sizes - window + 1, 0))
+    starts = ends - sizes
+    begun = np.cumsum(np.maximum(sizes - window + 1, 0))
+    at = np.arange(len(text_of)) - np.repeat(
+        begun - np.maximum(sizes - window + 1, 0), np.maximum(sizes - window + 1, 0)
+    )
+    if not len(at):
+        return (np.zeros(0, np.int64),) * 5
+    least = least[starts[text_of] + at]
+    new = (least[1:] != least[:-1]) | (text_of[1:] != text_of[:-1])
+    first = np.flatnonzero(np.concatenate(([True], new)))
+    count = np.diff(np.append(first, len(at)))
+    windows = _rolled(hashes, window)
+    whole = starts[text_of[first]] + at[first]
+    # A segment is shorter than two windows, so its first and last window hold all its words.
+    content = windows[whole] * np.uint64(_FACTOR) + windows[whole + count - 1]
+    anchor = phrases[least[first]]
+    return text_of[first], at[first], count, anchor.view(np.int64), content.view(np.int64)
+
+
+def _lists(of: np.ndarray, count: int, values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
+    """``values``, sorted by the row ``of`` that each belongs to, as a list for each of ``count`` rows."""
+    offsets = np.searchsorted(of, np.arange(count + 1))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 
 
 def _anchored(docs: DataFrame) -> DataFrame:
@@ -97,8 +148,8 @@ def _anchored(docs: DataFrame) -> DataFrame:
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64()]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [anchors(words_of(t)) for t in batch.column("text").to_pylist()]
-        lists = [_lists([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
+        of, *found = anchors([words_of(t) for t in batch.column("text").to_pylist()])
+        lists = [_lists(of, len(batch), v, k) for v, k in zip(found, kinds, strict=True)]
         return pa.RecordBatch.from_arrays(
             [batch.column("ident"), batch.column("mark"), *lists], names=["ident", "mark", *names]
         )
