@@ -15,8 +15,9 @@ POSITION_DIGITS = 19
 
 
 def reverse_timestamp(ts: Column) -> Column:
-    """Zero-padded text that sorts the newest timestamp first (null before 1970)."""
-    left = F.try_subtract(F.lit(MAX_LONG), F.unix_millis(ts))
+    """Zero-padded text that sorts the newest timestamp first, times before 1970 included."""
+    wide = "decimal(20,0)"
+    left = F.lit(MAX_LONG).cast(wide) - F.unix_millis(ts).cast(wide)
     return F.lpad(left.cast("string"), MAX_LONG_DIGITS, "0")
 
 

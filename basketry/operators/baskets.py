@@ -1,23 +1,24 @@
 """Products bought together.
 
-A basket with k products has k^2/2 pairs, so one huge basket could swamp the job.  Pairs
-are therefore written out only for baskets of up to ``max_basket`` products.  Larger
-baskets add to the same counts without listing their pairs; the result is exact:
-
-* a pair that also occurs in a small basket is looked up in the large ones;
-* of the pairs that occur in large baskets only, products found in the same large
-  baskets the same number of times are interchangeable, so pairs of such *classes* of
-  products are counted and only the best are spelled out.
+A basket with k products has k^2/2 pairs, so before any pair is written out, products
+that cannot be in a winning pair are dropped.  With any one partner a product's pairs
+number at most the sum, over its baskets, of its own lines times the most lines any product
+has there: its bound.  The pairs of the products with the highest bounds are counted first;
+the count that the last of the best of them reaches is a count that a winner needs, and a
+product with a lower bound is in no winning pair.  The result is exact for baskets of
+any size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.numeric import ratio
 from basketry.operators.revenue import completed
-from basketry.sources.scratch import written
+
+#: Products whose pairs are counted first; they list at most half its square pairs a basket.
+SCOUTS = 64
 
 
 def product_purchase_counts(lines: DataFrame) -> DataFrame:
@@ -30,50 +31,67 @@ def copurchase_pairs(
     products: DataFrame,
     top_n: int = 10,
     min_support: int = 2,
-    max_basket: int = 200,
     digits: int | None = 4,
+    scouts: int = SCOUTS,
 ) -> DataFrame:
     """The ``top_n`` product pairs found most often in one completed transaction, with
     names and Jaccard similarity count / (purchases a + purchases b - count).
 
     A product repeated in a basket counts each time.  Products outside the catalog make
-    no pair.  Pairs of equal count come in product order.
+    no pair.  Pairs of equal count come in product order.  ``scouts`` changes what is
+    counted first, not the result.
     """
-    # One row per product and basket, at most as many as the catalog has products: repeats
-    # collapse before anything is paired.  The branches below read it, so it is written.
-    in_basket = Window.partitionBy("transaction_id")
-    bought = written(
+    # One row per product and basket: repeats collapse before anything is paired.
+    bought = (
         completed(lines)
         .filter(F.col("product_id").isNotNull())
         .groupBy("transaction_id", "product_id")
         .agg(F.count("*").alias("times"))
         .join(products.select("product_id"), "product_id", "left_semi")
-        .withColumn("n_products", F.count("*").over(in_basket))
-        .withColumn("most_times", F.max("times").over(in_basket)),
-        "baskets",
     )
-    basket = bought.filter(F.col("transaction_id").isNotNull())
-    small = basket.filter(F.col("n_products") <= max_basket)
-    large = basket.filter(F.col("n_products") > max_basket)
-
-    in_order = [F.desc("n"), "product_a", "product_b"]
-    best_listed = _with_large_baskets(_listed_pairs(small), large).orderBy(*in_order).limit(top_n)
+    paired = candidate_lines(bought, top_n, min_support, scouts)
+    in_order = [F.desc("co_purchase_count"), "product_a", "product_b"]
     pairs = (
-        best_listed.unionByName(_best_pairs_in_large(large, top_n, min_support))
-        .groupBy("product_a", "product_b")
-        .agg(F.max("n").alias("n"))
+        listed_pairs(paired)
         .filter(F.col("n") >= min_support)
+        .withColumnRenamed("n", "co_purchase_count")
         .orderBy(*in_order)
         .limit(top_n)
-        .withColumnRenamed("n", "co_purchase_count")
     )
     purchases = bought.groupBy("product_id").agg(F.sum("times").alias("purchase_count"))
     return _described(pairs, purchases, products, digits)
 
 
-def _listed_pairs(small: DataFrame) -> DataFrame:
-    """Pair counts over small baskets, every pair written out."""
-    a, b = small.alias("a"), small.alias("b")
+def candidate_lines(
+    bought: DataFrame, top_n: int, min_support: int, scouts: int = SCOUTS
+) -> DataFrame:
+    """Rows of ``bought`` (transaction, product, times) whose product can be in one of the
+    ``top_n`` pairs, or ties with one that can."""
+    basket = bought.filter(F.col("transaction_id").isNotNull())
+    fullest = basket.groupBy("transaction_id").agg(
+        F.max("times").alias("most_times"), F.count("*").alias("n_products")
+    )
+    together = basket.join(fullest.filter("n_products > 1"), "transaction_id")
+    bounds = (
+        together.groupBy("product_id")
+        .agg(F.sum(F.col("times") * F.col("most_times")).alias("bound"))
+        .filter(F.col("bound") >= min_support)
+    )
+    first = bounds.orderBy(F.desc("bound"), "product_id").limit(scouts)
+    reached = listed_pairs(together.join(first, "product_id", "left_semi"))
+    best = reached.orderBy(F.desc("n")).limit(top_n)
+    # Fewer than ``top_n`` pairs of theirs say nothing about the others.
+    needed = best.agg(F.when(F.count("*") == top_n, F.min("n")).alias("n")).scalar()
+    needed = F.greatest(F.coalesce(needed, F.lit(0)), F.lit(min_support))
+    able = bounds.filter(F.col("bound") >= needed).select("product_id")
+    return together.join(able, "product_id", "left_semi").select(
+        "transaction_id", "product_id", "times"
+    )
+
+
+def listed_pairs(basket: DataFrame) -> DataFrame:
+    """Counts ``n`` of all pairs of products in one basket, each pair in product order."""
+    a, b = basket.alias("a"), basket.alias("b")
     same_basket = F.col("a.transaction_id") == F.col("b.transaction_id")
     in_order = F.col("a.product_id") < F.col("b.product_id")
     return (
@@ -85,97 +103,10 @@ def _listed_pairs(small: DataFrame) -> DataFrame:
     )
 
 
-def _with_large_baskets(listed: DataFrame, large: DataFrame) -> DataFrame:
-    """Listed pairs with what large baskets add to their counts."""
-    of_a = large.select(
-        "transaction_id", F.col("product_id").alias("product_a"), F.col("times").alias("times_a")
-    )
-    of_b = large.select(
-        "transaction_id", F.col("product_id").alias("product_b"), F.col("times").alias("times_b")
-    )
-    added = (
-        listed.select("product_a", "product_b")
-        .join(of_a, "product_a")
-        .join(of_b, ["transaction_id", "product_b"])
-        .groupBy("product_a", "product_b")
-        .agg(F.sum(F.col("times_a") * F.col("times_b")).alias("added"))
-    )
-    return listed.join(added, ["product_a", "product_b"], "left").select(
-        "product_a", "product_b", (F.col("n") + F.coalesce("added", F.lit(0))).alias("n")
-    )
-
-
-def _best_pairs_in_large(large: DataFrame, top_n: int, min_support: int) -> DataFrame:
-    """At least the ``top_n`` best pairs by their count over large baskets alone.
-
-    Together with the best listed pairs these cannot miss a winner: a pair that is not
-    listed and not here has ``top_n`` pairs ahead of it that only gain from small baskets.
-    """
-    in_class = large.join(_classes(large, top_n, min_support), "product_id").select(
-        "transaction_id", "times", "product_id", "members"
-    )
-    a, b = in_class.alias("a"), in_class.alias("b")
-    same_basket = F.col("a.transaction_id") == F.col("b.transaction_id")
-    within = F.col("a.product_id") == F.col("b.product_id")
-    has_pair = (F.col("a.product_id") < F.col("b.product_id")) | (
-        within & (F.size("a.members") > 1)
-    )
-    members_a, members_b = F.col("members_a"), F.col("members_b")
-    same = members_a[0] == members_b[0]
-    class_pairs = (
-        a.join(b, same_basket & has_pair)
-        .groupBy(F.col("a.product_id").alias("class_a"), F.col("b.product_id").alias("class_b"))
-        .agg(
-            F.sum(F.col("a.times") * F.col("b.times")).alias("n"),
-            F.any_value("a.members").alias("members_a"),
-            F.any_value("b.members").alias("members_b"),
-        )
-        .filter(F.col("n") >= min_support)
-        # The order of their first pairs; no other class pair can hold a winner.
-        .orderBy(F.desc("n"), "class_a", F.when(same, members_b[1]).otherwise(members_b[0]))
-        .limit(top_n)
-    )
-    spelled_out = class_pairs.select(
-        "n", "members_b", same.alias("within"), F.explode(members_a).alias("a")
-    ).select("n", "within", "a", F.explode(members_b).alias("b"))
-    return spelled_out.filter(~F.col("within") | (F.col("a") < F.col("b"))).select(
-        F.least("a", "b").alias("product_a"), F.greatest("a", "b").alias("product_b"), "n"
-    )
-
-
-def _classes(large: DataFrame, top_n: int, min_support: int) -> DataFrame:
-    """Classes of interchangeable products: the first product, which names the class,
-    and its first members, enough for the first ``top_n`` pairs."""
-    mark = F.xxhash64("transaction_id", "times").cast("decimal(20,0)")
-    other_mark = F.xxhash64("times", "transaction_id", F.lit(1)).cast("decimal(20,0)")
-    marks = ["mark", "other_mark", "n_baskets"]
-    products = (
-        large.groupBy("product_id")
-        .agg(
-            # A 128-bit sum, equal for products in the same baskets the same number of times.
-            F.sum(mark).alias("mark"),
-            F.sum(other_mark).alias("other_mark"),
-            F.count("*").alias("n_baskets"),
-            F.sum(F.col("times") * F.col("most_times")).alias("most_pairs"),
-        )
-        # Even with its basket's commonest partner each time, the product must get there.
-        .filter(F.col("most_pairs") >= min_support)
-    )
-    place = F.row_number().over(Window.partitionBy(*marks).orderBy("product_id"))
-    return (
-        products.withColumn("place", place)
-        .filter(F.col("place") <= top_n + 1)
-        .groupBy(*marks)
-        .agg(F.array_sort(F.collect_list("product_id")).alias("members"))
-        .select(F.col("members")[0].alias("product_id"), "members")
-    )
-
-
 def _described(
     pairs: DataFrame, counts: DataFrame, products: DataFrame, digits: int | None
 ) -> DataFrame:
-    """The chosen pairs with names and similarity; they are few, so they are broadcast
-    and neither the catalog nor the purchase counts move."""
+    """The chosen pairs with names and similarity."""
     for side in ("a", "b"):
         key = f"product_{side}"
         purchases = counts.select(
@@ -184,7 +115,7 @@ def _described(
         names = products.select(
             F.col("product_id").alias(key), F.col("name").alias(f"name_{side}")
         )
-        pairs = F.broadcast(F.broadcast(pairs).join(purchases, key)).join(names, key)
+        pairs = pairs.join(purchases, key).join(names, key)
     together = F.col("co_purchase_count")
     either = F.col("purchases_a") + F.col("purchases_b") - together
     return pairs.select(

@@ -7,24 +7,31 @@ from pyspark.sql import functions as F
 
 from basketry.functions.numeric import ratio
 from basketry.functions.times import parsed
+from basketry.functions.typed import typed
+from basketry.sources import schemas
 
 
-def clean_transactions(raw: DataFrame) -> DataFrame:
-    """Typed transactions: parsed time, zero for no discount, normalised status, a flag
-    (not a filter) for totals that are not positive, and derived date and month."""
-    discount = F.when(F.col("discount").isNull(), F.lit(0.0)).otherwise(
-        F.col("discount").try_cast("double")
-    )
-    typed = raw.withColumns(
+def clean_transactions(raw: DataFrame, tidy_status: bool = False) -> DataFrame:
+    """Typed transactions: parsed time, zero for no discount (null for one that is no number),
+    normalised status, a flag (not a filter) for totals that are not positive, and derived
+    date and month.
+
+    ``tidy_status`` says that the source's status is lower case without spaces already, so
+    that filters on it can reach the source.
+    """
+    no_discount = F.col("discount").isNull()
+    cast = typed(raw.withColumn("_none", no_discount), schemas.TRANSACTIONS)
+    status = F.col("status") if tidy_status else F.lower(F.trim("status"))
+    whole = cast.withColumns(
         {
-            "timestamp": parsed(raw, "timestamp"),
-            "discount": discount,
-            "total": F.col("total").try_cast("double"),
-            "subtotal": F.col("subtotal").try_cast("double"),
-            "status": F.lower(F.trim("status")),
+            "timestamp": parsed(cast, "timestamp"),
+            "discount": F.when(F.col("_none"), 0.0).otherwise(F.col("discount").cast("double")),
+            "total": F.col("total").cast("double"),
+            "subtotal": F.col("subtotal").cast("double"),
+            "status": status,
         }
-    )
-    return typed.withColumns(
+    ).drop("_none")
+    return whole.withColumns(
         {
             "is_suspicious": F.coalesce(F.col("total") <= 0, F.lit(False)),
             "date": F.to_date("timestamp"),
@@ -36,14 +43,14 @@ def clean_transactions(raw: DataFrame) -> DataFrame:
 def clean_users(raw: DataFrame, as_of: Column) -> DataFrame:
     """Typed users with country (default 'Unknown'), registration month and tenure in
     days at ``as_of`` (pass ``F.current_date()`` for today)."""
-    typed = raw.withColumns(
+    dated = raw.withColumns(
         {
             "registration_date": parsed(raw, "registration_date"),
             "last_active": parsed(raw, "last_active"),
             "country": F.coalesce(F.col("geo_data.country"), F.lit("Unknown")),
         }
     )
-    return typed.withColumns(
+    return dated.withColumns(
         {
             "reg_year_month": F.date_format("registration_date", "yyyy-MM"),
             "tenure_days": F.datediff(as_of, F.to_date("registration_date")),
@@ -54,18 +61,26 @@ def clean_users(raw: DataFrame, as_of: Column) -> DataFrame:
 def clean_products(raw: DataFrame) -> DataFrame:
     """Typed products: zero for no stock, boolean activity, length of the price history
     and whether the price ever changed."""
-    typed = raw.withColumns(
+    cast = typed(raw.withColumn("_none", F.col("current_stock").isNull()), schemas.PRODUCTS)
+    stock = F.when(F.col("_none"), 0).otherwise(F.col("current_stock"))
+    changes = F.coalesce(F.size("price_history"), F.lit(0))
+    return cast.withColumns(
         {
-            "current_stock": F.when(F.col("current_stock").isNull(), F.lit(0)).otherwise(
-                F.col("current_stock").try_cast("int")
-            ),
-            "is_active": F.col("is_active").try_cast("boolean"),
-            "price_history_len": F.when(F.col("price_history").isNull(), F.lit(0)).otherwise(
-                F.size("price_history")
-            ),
+            "current_stock": stock.cast("int"),
+            "price_history_len": F.greatest(changes, F.lit(0)),
+            "is_price_volatile": changes > 1,
         }
-    )
-    return typed.withColumn("is_price_volatile", F.col("price_history_len") > 1)
+    ).drop("_none")
+
+
+def clean_sessions(raw: DataFrame) -> DataFrame:
+    """Typed sessions: numbers in durations, page views and carts."""
+    return typed(raw, schemas.SESSIONS)
+
+
+def clean_categories(raw: DataFrame) -> DataFrame:
+    """Typed categories."""
+    return typed(raw, schemas.CATEGORIES)
 
 
 def enrich_products(

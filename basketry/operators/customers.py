@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.numeric import cents, dollars, money_mean, ratio, rounded
+from basketry.functions.numeric import cents, dollars, money_mean, ratio, rounded, total
 from basketry.functions.times import whole_days_between
 from basketry.operators.quantiles import approximate_quantiles, exact_quantiles
 from basketry.operators.revenue import completed
@@ -19,7 +19,7 @@ def user_monthly_spend(transactions: DataFrame) -> DataFrame:
     return (
         completed(transactions)
         .groupBy("user_id", F.col("year_month").alias("txn_month"))
-        .agg(dollars(F.sum(cents(F.col("total")))).alias("monthly_spend"))
+        .agg(dollars(total(F.col("total"))).alias("monthly_spend"))
     )
 
 
@@ -31,15 +31,15 @@ def cohort_revenue(
     Spend is summed per user and month before the join, so a busy user is one row.
     """
     cohorts = users.select("user_id", F.col("reg_year_month").alias("cohort_month"))
-    spend = cents(F.col("monthly_spend"))
+    spend = F.col("monthly_spend")
     return (
         user_monthly_spend(transactions)
         .join(cohorts, "user_id")
         .groupBy("cohort_month", "txn_month")
         .agg(
             F.count("user_id").alias("active_users"),
-            dollars(F.sum(spend)).alias("cohort_revenue"),
-            money_mean(F.sum(spend), F.count(spend), digits).alias("arpu"),
+            dollars(total(spend)).alias("cohort_revenue"),
+            money_mean(total(spend), F.count(spend), digits).alias("arpu"),
         )
         .orderBy("cohort_month", "txn_month")
     )
@@ -50,14 +50,14 @@ def ltv_segments(
 ) -> DataFrame:
     """Users by fixed spend thresholds: count, mean spend, orders, order value and days
     between first and last purchase.  Averages are over per-user values rounded to cents."""
-    total = cents(F.col("total"))
+    spent = F.col("total")
     per_user = (
         completed(transactions)
         .groupBy("user_id")
         .agg(
             F.count("*").alias("order_count"),
-            F.sum(total).alias("spend_cents"),
-            cents(money_mean(F.sum(total), F.count(total), 2)).alias("order_value_cents"),
+            total(spent).alias("spend_cents"),
+            cents(money_mean(total(spent), F.count(spent), 2)).alias("order_value_cents"),
             F.datediff(F.max("date"), F.min("date")).alias("lifespan_days"),
         )
     )
@@ -90,17 +90,17 @@ def clv_features(transactions: DataFrame, digits: int | None = 2) -> DataFrame:
 
     Amounts that are missing count as 0, also in the mean.
     """
-    total = F.coalesce(cents(F.col("total")), F.lit(0))
-    discount = F.coalesce(cents(F.col("discount")), F.lit(0))
+    spent = F.coalesce("total", F.lit(0.0))
+    discount = F.coalesce("discount", F.lit(0.0))
     per_user = (
         completed(transactions)
         .filter(F.col("user_id").isNotNull())
         .groupBy("user_id")
         .agg(
             F.count("transaction_id").alias("order_count"),
-            dollars(F.sum(total)).alias("total_spend"),
-            money_mean(F.sum(total), F.count("*"), None).alias("avg_order_val"),
-            dollars(F.sum(discount)).alias("total_discount"),
+            dollars(total(spent)).alias("total_spend"),
+            money_mean(total(spent), F.count("*"), None).alias("avg_order_val"),
+            dollars(total(discount)).alias("total_discount"),
             F.min("timestamp").alias("first_purchase"),
             F.max("timestamp").alias("last_purchase"),
         )
@@ -206,8 +206,7 @@ def unified_profile(clv: DataFrame, engagement: DataFrame, users: DataFrame) ->
 
 
 def _mean_clv(digits: int | None) -> Column:
-    value = cents(F.col("clv"))
-    return money_mean(F.sum(value), F.count(value), digits)
+    return money_mean(total(F.col("clv")), F.count("clv"), digits)
 
 
 def _mean_count(column: str, digits: int | None) -> Column:
@@ -216,8 +215,7 @@ def _mean_count(column: str, digits: int | None) -> Column:
 
 def _mean_hundredths(column: str, digits: int | None) -> Column:
     """Mean of a column that was rounded to at most two decimals per user."""
-    value = cents(F.col(column))
-    return money_mean(F.sum(value), F.count(value), digits)
+    return money_mean(total(F.col(column)), F.count(column), digits)
 
 
 def _tier_order() -> Column:
@@ -281,7 +279,7 @@ def referrer_revenue(unified: DataFrame, digits: int | None = 2) -> DataFrame:
         unified.groupBy("primary_referrer")
         .agg(
             F.count("user_id").alias("user_count"),
-            dollars(F.sum(cents(F.col("clv")))).alias("total_rev"),
+            dollars(total(F.col("clv"))).alias("total_rev"),
             _mean_clv(digits).alias("avg_clv"),
             _mean_hundredths("user_conversion_rate", digits).alias("avg_conv_rate"),
         )
@@ -303,7 +301,7 @@ def clv_segments_fixed(
         .groupBy("user_id")
         .agg(
             F.count("*").alias("order_count"),
-            dollars(F.sum(cents(F.col("total")))).alias("clv"),
+            dollars(total(F.col("total"))).alias("clv"),
         )
     )
     engagement = sessions.groupBy("user_id").agg(F.count("*").alias("total_sessions"))

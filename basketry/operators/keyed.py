@@ -6,7 +6,7 @@ it with ``files.to_keyed_parquet``: the range filters below then skip whole file
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.functions.keys import compact_day, padded_position, reverse_timestamp, row_key
-from basketry.functions.numeric import cents, dollars, ratio
+from basketry.functions.numeric import dollars, ratio, total
 from basketry.functions.times import parsed
 
 
@@ -30,14 +30,26 @@ def first_sessions(sessions: DataFrame, n: int | None) -> DataFrame:
     return sessions if n is None else sessions.orderBy("start_time", "session_id").limit(n)
 
 
+def _session_key(sessions: DataFrame) -> Column:
+    return row_key(F.col("user_id"), reverse_timestamp(parsed(sessions, "start_time")))
+
+
+def rejected_sessions(sessions: DataFrame) -> DataFrame:
+    """Sessions without a user or a readable start time: they have no key and no row."""
+    return sessions.filter(_session_key(sessions).isNull())
+
+
 def user_session_rows(
-    sessions: DataFrame, max_sessions: int | None = None, seq: str | None = None
+    sessions: DataFrame,
+    max_sessions: int | None = None,
+    seq: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Sessions keyed 'user#reversed start time' (a user's newest first) with the cell
-    groups ``meta``, ``geo`` and ``cart``; missing cells are '' or 0.
+    groups ``meta``, ``geo`` and ``cart``; missing cells are '' or 0.  What has no key is in
+    `rejected_sessions` instead.
 
-    With ``seq`` (a column that orders the writes) sessions with the same key collapse
-    to the last written one.
+    With ``seq`` (columns that order the writes, such as end time and id) sessions with the
+    same key collapse to the last written one.
     """
     chosen = first_sessions(sessions, max_sessions)
 
@@ -45,14 +57,16 @@ def user_session_rows(
         return F.coalesce(F.col(path), F.lit(""))
 
     cart = F.col("cart_contents")
+    exact = "decimal(38,6)"
     value = F.aggregate(
         F.map_values(cart),
-        F.lit(0).cast("bigint"),
-        lambda total, item: total
-        + F.coalesce(item["quantity"].cast("bigint") * cents(item["price"]), F.lit(0)),
+        F.lit(0).cast(exact),
+        lambda done, item: (
+            done + F.coalesce((item["quantity"] * item["price"]).cast("decimal(28,6)"), F.lit(0))
+        ).cast(exact),
     )
     rows = chosen.select(
-        row_key(F.col("user_id"), reverse_timestamp(parsed(chosen, "start_time"))).alias("row_key"),
+        _session_key(chosen).alias("row_key"),
         "user_id",
         F.struct(
             _text(chosen, "start_time").alias("start_time"),
@@ -70,13 +84,16 @@ def user_session_rows(
         ).alias("geo"),
         F.struct(
             F.coalesce(F.to_json(F.array_sort(F.map_keys(cart))), F.lit("[]")).alias("product_ids"),
-            F.coalesce(dollars(value), F.lit(0.0)).alias("total_value"),
+            F.coalesce(F.round(value, 2).cast("double"), F.lit(0.0)).alias("total_value"),
         ).alias("cart"),
-        *([] if seq is None else [F.col(seq).alias("_seq")]),
-    )
+        *([] if seq is None else [F.struct(seq).alias("_seq")]),
+    ).filter(F.col("row_key").isNotNull())
     if seq is None:
         return rows
-    return upsert_latest(rows, "row_key", "_seq").drop("_seq")
+    # No cell group is null, so the last write of a key is its last row.
+    last = Window.partitionBy("row_key").orderBy(F.desc("_seq"))
+    ranked = rows.withColumn("_rank", F.row_number().over(last)).filter("_rank = 1")
+    return ranked.drop("_rank", "_seq")
 
 
 def page_views(sessions: DataFrame) -> DataFrame:
@@ -131,7 +148,7 @@ def cart_adds_daily(sessions: DataFrame) -> DataFrame:
         .groupBy("product_id", "day")
         .agg(
             F.sum(quantity).alias("add_count"),
-            dollars(F.sum(quantity * cents(F.col("line.price")))).alias("total_value_added"),
+            dollars(total(quantity * F.col("line.price"))).alias("total_value_added"),
         )
     )
 
@@ -148,6 +165,8 @@ def product_performance_table(views: DataFrame, carts: DataFrame, sales: DataFra
     )
     return daily.select(
         row_key(F.col("product_id"), F.col("day")).alias("row_key"),
+        "product_id",
+        "day",
         F.struct("views", "unique_users", "avg_dur_sec").alias("views"),
         F.struct("add_count", "total_value_added").alias("cart"),
         F.struct("units_sold", "revenue", "order_count").alias("sales"),
@@ -171,13 +190,19 @@ def product_performance_range(
     performance: DataFrame, product_id=None, start: str = "20250101", end: str = "20251231"
 ) -> DataFrame:
     """Daily rows from ``start`` up to but *not* including ``end`` for one product (or
-    each), with the product's total views in the range."""
+    each), with the product's total views in the range.
+
+    ``performance`` is the result of `product_performance_daily` or, stored in folders by
+    day, of `product_performance_table`.
+    """
     chosen = performance.filter((F.col("day") >= start) & (F.col("day") < end))
     if product_id is not None:
         chosen = chosen.filter(F.col("product_id") == product_id)
     # At most one row per day and product reaches this window.
     in_range = Window.partitionBy("product_id")
-    return chosen.withColumn("total_views", F.sum("views").over(in_range))
+    nested = isinstance(performance.schema["views"].dataType, T.StructType)
+    views = F.col("views.views" if nested else "views")
+    return chosen.withColumn("total_views", F.coalesce(F.sum(views).over(in_range), F.lit(0)))
 
 
 def key_range_scan(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.functions.numeric import cents, dollars, money_mean, rounded
+from basketry.functions.numeric import dollars, money_mean, rounded, total
 
 
 def completed(df: DataFrame) -> DataFrame:
@@ -57,8 +57,8 @@ def daily_revenue(
         .groupBy("date")
         .agg(
             F.count("*").alias("daily_orders"),
-            F.sum(cents(F.col("total"))).alias("revenue_cents"),
-            F.sum(cents(F.col("discount"))).alias("discount_cents"),
+            total(F.col("total")).alias("revenue_cents"),
+            total(F.col("discount")).alias("discount_cents"),
         )
     )
     recent = Window.orderBy("date").rowsBetween(1 - window_rows, Window.currentRow)
@@ -91,7 +91,7 @@ def _per_product(lines: DataFrame, *extra: Column) -> DataFrame:
         completed(lines)
         .groupBy("product_id")
         .agg(
-            F.coalesce(F.sum(cents(F.col("subtotal"))), F.lit(0)).alias("gross_cents"),
+            F.coalesce(total(F.col("subtotal")), F.lit(0)).alias("gross_cents"),
             F.count("*").alias("line_count"),
             F.coalesce(F.sum(F.col("quantity").cast("bigint")), F.lit(0)).alias("units"),
             *extra,
@@ -104,9 +104,9 @@ def product_popularity(
 ) -> DataFrame:
     """Top ``n`` products by revenue with units, number of lines, mean unit price, and
     name and category from the enriched catalog ('Unknown' when not in it)."""
-    price = cents(F.col("unit_price"))
+    price = F.col("unit_price")
     top = (
-        _per_product(lines, F.sum(price).alias("price_cents"), F.count(price).alias("priced"))
+        _per_product(lines, total(price).alias("price_cents"), F.count(price).alias("priced"))
         .orderBy(F.desc("gross_cents"), "product_id")
         .limit(n)
     )
@@ -135,7 +135,7 @@ def revenue_by_category(
     it three times; ``category_revenue_allocated`` splits it instead.  Products outside
     the catalog form the null category.
     """
-    discount = F.sum(cents(F.col("discount"))).alias("discount_cents")
+    discount = total(F.col("discount")).alias("discount_cents")
     catalog = products.select("product_id", "category_name")
     per_category = (
         _per_product(lines, discount)
@@ -170,7 +170,7 @@ def category_revenue_allocated(
     has no category are left out, as they belong to no bar of this report."""
     # 12 decimals: exact sums of thirds and sevenths of a cent, whatever the row order.
     share = (
-        cents(F.col("discount")).cast("decimal(18,0)")
+        (F.col("discount").cast("decimal(16,6)") * 100)
         / F.greatest(F.col("n_lines"), F.lit(1)).cast("decimal(10,0)")
     ).cast("decimal(28,12)")
     catalog = products.select("product_id", "category_name")
@@ -184,7 +184,8 @@ def category_revenue_allocated(
             F.sum("units").alias("units_sold"),
         )
     )
-    gross, discount = dollars(F.col("gross_cents")), dollars(F.col("share_cents"))
+    gross = dollars(F.col("gross_cents"))
+    discount = F.col("share_cents").cast("double") / F.lit(100.0)
     report = per_category.select(
         "category_name",
         gross.alias("gross_revenue"),
@@ -204,7 +205,7 @@ def product_sales_daily(lines: DataFrame) -> DataFrame:
         .groupBy("product_id", F.date_format("date", "yyyyMMdd").alias("day"))
         .agg(
             F.sum(F.col("quantity").cast("bigint")).alias("units_sold"),
-            dollars(F.sum(cents(F.col("subtotal")))).alias("revenue"),
+            dollars(total(F.col("subtotal"))).alias("revenue"),
             F.count_distinct("transaction_id").alias("order_count"),
         )
     )

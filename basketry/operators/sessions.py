@@ -7,12 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.numeric import cents, dollars, money_mean, ratio
+from basketry.functions.numeric import dollars, money_mean, ratio, total
 from basketry.operators.revenue import completed
 
 # The outcomes of a session.
 CONVERSION_STATUSES = ("converted", "abandoned", "browsed")
 
+# Operating systems that get a column of their own.
+OPERATING_SYSTEMS = ("iOS", "Android", "Windows", "macOS", "Linux")
+
 
 def _status_counts() -> list:
     return [
@@ -85,7 +88,6 @@ def revenue_by_device_os(
         F.col("device_profile.type").alias("device_type"),
         F.col("device_profile.os").alias("os"),
     )
-    total = cents(F.col("total"))
     return (
         completed(transactions)
         .select("session_id", "transaction_id", "total")
@@ -93,46 +95,43 @@ def revenue_by_device_os(
         .groupBy("device_type", "os")
         .agg(
             F.count_distinct("transaction_id").alias("transactions"),
-            dollars(F.sum(total)).alias("revenue"),
-            money_mean(F.sum(total), F.count(total), digits).alias("avg_order_value"),
+            dollars(total(F.col("total"))).alias("revenue"),
+            money_mean(total(F.col("total")), F.count("total"), digits).alias("avg_order_value"),
         )
         .orderBy(F.desc("revenue"), "device_type", "os")
     )
 
 
 def device_os_matrix(
-    transactions: DataFrame, sessions: DataFrame, os_values: Sequence[str] | None = None
+    transactions: DataFrame,
+    sessions: DataFrame,
+    os_values: Sequence[str] = OPERATING_SYSTEMS,
 ) -> DataFrame:
     """Completed revenue in thousands (1 decimal): a row per device type, a column per
-    OS, 'unknown' where the session does not say.
+    OS in ``os_values``, 'other' for any other, 'unknown' where the session does not say.
 
-    Pass ``os_values`` (with 'unknown') when all are known, as others get no column;
-    without, Spark runs a job to find them.
+    All revenue is in one of the columns, and no job runs to find their names.
     """
-    unknown = F.lit("unknown")
+    unknown, listed = F.lit("unknown"), [name for name in os_values if name != "unknown"]
     devices = sessions.select(
         "session_id",
         F.coalesce("device_profile.type", unknown).alias("device_type"),
         F.coalesce("device_profile.os", unknown).alias("os"),
     )
-    summed = (
+    name = F.when(F.col("os").isin(*listed, "unknown"), F.col("os")).otherwise("other")
+    columns = [*listed, "other", "unknown"]
+    matrix = (
         completed(transactions)
-        .select("session_id", cents(F.col("total")).alias("total_cents"))
+        .select("session_id", "total")
         .join(devices, "session_id")
-        .groupBy("device_type", "os")
-        .agg(F.sum("total_cents").alias("total_cents"))
-    )
-    matrix = (
-        summed.groupBy("device_type")
-        .pivot("os", None if os_values is None else list(os_values))
-        .agg(F.first("total_cents"))
+        .groupBy("device_type", name.alias("os"))
+        .agg(total(F.col("total")).alias("cents"))
+        .groupBy("device_type")
+        .pivot("os", columns)
+        .agg(F.sum("cents"))
         .fillna(0)
     )
     return matrix.select(
         "device_type",
-        *[
-            ratio(F.col(f"`{name}`"), F.lit(100_000), 1).alias(name)
-            for name in matrix.columns
-            if name != "device_type"
-        ],
+        *[ratio(F.col(f"`{c}`"), F.lit(100_000), 1).alias(c) for c in columns],
     ).orderBy("device_type")

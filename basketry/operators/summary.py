@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.numeric import cents, dollars, money_mean, rounded
+from basketry.functions.numeric import dollars, money_mean, rounded, total
 from basketry.operators.revenue import category_revenue_allocated, completed
 from basketry.operators.sessions import referrer_conversion
 
@@ -22,14 +22,13 @@ def kpi_summary(
 
     The last three come in as scalar subqueries over grouped rows.
     """
-    total = cents(F.col("total"))
     best = referrer_conversion(sessions).limit(1).select(F.struct("referrer", "conversion_pct"))
     top = category_revenue_allocated(lines, products, n=1)
     return (
         completed(transactions)
         .agg(
-            dollars(F.sum(total)).alias("total_revenue"),
-            money_mean(F.sum(total), F.count(total), digits).alias("avg_order_value"),
+            dollars(total(F.col("total"))).alias("total_revenue"),
+            money_mean(total(F.col("total")), F.count("total"), digits).alias("avg_order_value"),
         )
         .withColumn("best", best.scalar())
         .select(

@@ -40,12 +40,13 @@ def write_cleaned(
         files.to_parquet(df, path)
         return spark.read.parquet(path)
 
-    products = clean.enrich_products(clean.clean_products(raw["products"]), raw["categories"])
+    categories = clean.clean_categories(raw["categories"])
+    products = clean.enrich_products(clean.clean_products(raw["products"]), categories)
     tables = {
         "transactions": stored("transactions", clean.clean_transactions(raw["transactions"])),
         "users": stored("users", clean.clean_users(raw["users"], as_of)),
         "products": stored("products", products),
-        "sessions": stored("sessions", raw["sessions"]),
+        "sessions": stored("sessions", clean.clean_sessions(raw["sessions"])),
     }
     tables["lines"] = stored("lines", revenue.order_lines(tables["transactions"]))
     tables["views"] = stored("views", keyed.page_views(tables["sessions"]))
@@ -63,14 +64,19 @@ def write_keyed(
         keyed.cart_adds_daily(tables["sessions"]),
         revenue.product_sales_daily(tables["lines"]),
     )
+    sessions = tables["sessions"]
     built = {
-        "user_sessions": keyed.user_session_rows(tables["sessions"], seq="session_id"),
+        "user_sessions": keyed.user_session_rows(sessions, seq=["end_time", "session_id"]),
         "product_performance": daily,
         "page_events": keyed.page_events(tables["views"]),
     }
     for name, df in built.items():
-        files.to_keyed_parquet(df, f"{directory}/keyed/{name}")
-    return {name: spark.read.parquet(f"{directory}/keyed/{name}") for name in built}
+        folders = ("day",) if name == "product_performance" else ()
+        files.to_keyed_parquet(df, f"{directory}/keyed/{name}", partition_by=folders)
+    files.to_parquet(keyed.rejected_sessions(sessions), f"{directory}/rejected/sessions")
+    # With the schema given, a day in a folder's name stays text.
+    reader = {name: spark.read.schema(df.schema) for name, df in built.items()}
+    return {name: reader[name].parquet(f"{directory}/keyed/{name}") for name in built}
 
 
 def reports(t: dict[str, DataFrame]) -> dict[str, Callable[[], DataFrame]]:
@@ -107,11 +113,23 @@ def reports(t: dict[str, DataFrame]) -> dict[str, Callable[[], DataFrame]]:
     }
 
 
+def register_views(tables: dict[str, DataFrame]) -> None:
+    """The tables as temporary views of their names, for SQL."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+
+
 def run(spark: SparkSession, input_dir: str, output_dir: str, as_of: Column) -> list[str]:
     """Write everything below ``output_dir``; return the names of the reports."""
     tables = write_cleaned(prepare(spark), read_inputs(spark, input_dir), output_dir, as_of)
+    register_views(tables)
     keyed_tables = write_keyed(spark, tables, output_dir)
-    known = reports(tables) | {"row_counts": lambda: keyed.row_counts(keyed_tables)}
+    rejected = {"rejected_sessions": spark.read.parquet(f"{output_dir}/rejected/sessions")}
+    counted = keyed_tables | rejected
+    known = reports(tables) | {
+        "row_counts": lambda: keyed.row_counts(counted),
+        "unified_profile": lambda: tables["profile"],
+    }
     for name, build in known.items():
         files.to_json_records(build(), f"{output_dir}/reports/{name}")
     return list(known)

@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession
 SETTINGS = {
     # Source timestamps carry no zone.
     "spark.sql.session.timeZone": "UTC",
+    # Sums that overflow raise.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join also where the next aggregation would have reused its

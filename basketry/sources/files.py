@@ -3,24 +3,51 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from basketry.sources import schemas
 
 
-def read_entity(
-    spark: SparkSession, entity: str, paths: str | Sequence[str], multi_line: bool = False
-) -> DataFrame:
-    """JSON files of one entity with its fixed schema.
-
-    A file may hold one record per line or a whole array on one line; ``multi_line``
-    reads arrays and objects that spread over several lines.  Either way a one-line
-    array is one task's work, so convert large inputs once with ``to_parquet``.
+def _layouts(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[str]]:
+    """Files that hold an array, and others, told apart by their first character that counts."""
+    lines = spark.read.text(paths).select(
+        F.ltrim("value").alias("value"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("begins"),
+        F.monotonically_increasing_id().alias("line"),  # in order within a block
+    )
+    first = (
+        lines.filter((F.col("begins") == 0) & (F.col("value") != ""))
+        .groupBy("file")
+        .agg(F.min_by(F.substring("value", 1, 1), "line").alias("c"))
+    )
+    arrays, others = [], []
+    for row in first.collect():  # one row a file
+        (arrays if row["c"] == "[" else others).append(unquote(row["file"]))
+    return arrays, others
+
+
+def read_entity(spark: SparkSession, entity: str, paths: str | Sequence[str]) -> DataFrame:
+    """JSON files of one entity, numbers and booleans as text (``schemas.RAW``).
+
+    A file holds one record per line, or an array in any layout.  An array is one task's
+    work, so convert large inputs once with ``to_parquet``.  A record that is no JSON, or of
+    another shape, makes the job fail: nothing is read as nulls in its place.  Empty files
+    have no records.
     """
-    reader = spark.read.schema(schemas.BY_ENTITY[entity]).option("multiLine", multi_line)
-    return reader.json(paths if isinstance(paths, str) else list(paths))
+    arrays, others = _layouts(spark, [paths] if isinstance(paths, str) else list(paths))
+    reader = spark.read.schema(schemas.RAW[entity]).option("mode", "FAILFAST")
+    found = [reader.option("multiLine", True).json(arrays)] if arrays else []
+    if others:
+        found.append(reader.option("multiLine", False).json(others))
+    if not found:
+        return spark.createDataFrame([], schemas.RAW[entity])
+    return reduce(DataFrame.unionByName, found)
 
 
 def load_sessions(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -48,12 +75,16 @@ def to_json_records(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def to_keyed_parquet(df: DataFrame, path: str, key: str = "row_key") -> None:
-    """Replace the keyed table at ``path``, laid out in key order.
+def to_keyed_parquet(
+    df: DataFrame, path: str, key: str = "row_key", partition_by: Sequence[str] = ()
+) -> None:
+    """Replace the keyed table at ``path``, laid out in key order, in folders by
+    ``partition_by`` where given.
 
     Range partitioning on the full key gives every file a narrow key range, so range
     scans and point lookups skip files by their Parquet statistics, and one busy user
     or product spreads over several files instead of filling one task.
     """
-    ordered = df.repartitionByRange(key).sortWithinPartitions(key)
-    ordered.write.mode("overwrite").parquet(path)
+    order = [*partition_by, key]
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered.write.mode("overwrite").partitionBy(*partition_by).parquet(path)

@@ -1,9 +1,13 @@
-"""Explicit schemas of the five entities, as they arrive in JSON.
+"""Explicit schemas of the five entities.
 
 Fixed values: field names and types of the source documents.  Never inferred, because
-inference turns the cart map into a struct with one field per product id.
+inference turns the cart map into a struct with one field per product id.  ``RAW`` is what
+the JSON reader is given: numbers and booleans as text, since documents write them either
+way; the functions in ``operators.clean`` cast them.
 """
 
+import re
+
 USERS = """
     user_id string,
     geo_data struct<city:string, state:string, country:string>,
@@ -65,3 +69,5 @@ BY_ENTITY = {
     "transactions": TRANSACTIONS,
     "sessions": SESSIONS,
 }
+
+RAW = {name: re.sub(r"\b(double|int|boolean)\b", "string", ddl) for name, ddl in BY_ENTITY.items()}

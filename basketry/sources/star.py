@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.numeric import cents, dollars
-from basketry.session import prepare
 
 # Session attributes, picked by the number in an event's properties.
 REFERRERS = ("direct", "email", "social", "search_engine", "affiliate")
@@ -45,7 +44,8 @@ TABLES = {
 }
 
 SESSION_GAP_SECONDS = 12 * 3600
-UNCATEGORISED_BRAND = "Brand#25"
+#: Divides the session gap, so that a minute lies in one slice.
+POSITION_SECONDS = 60
 SESSION_SLOTS = 24
 SHARDS = 1024
 
@@ -54,11 +54,27 @@ def _pick(names: tuple[str, ...], index: Column) -> Column:
     return F.get(F.array(*[F.lit(name) for name in names]), index % len(names))
 
 
+def _cart(lines: Column) -> Column:
+    """Cart of clicked products with number of clicks and top price; null without any."""
+
+    def entry(product: Column) -> Column:
+        own = F.filter(lines, lambda x: x["product"] == product)
+        quantity = F.aggregate(own, F.lit(0).cast("bigint"), lambda n, x: n + x["quantity"])
+        price = F.array_max(F.transform(own, lambda x: x["price"]))
+        return F.struct(
+            product.alias("key"),
+            F.struct(quantity.cast("int").alias("quantity"), price.alias("price")).alias("value"),
+        )
+
+    products = F.array_distinct(F.transform(lines, lambda x: x["product"]))
+    return F.when(F.size(lines) > 0, F.map_from_entries(F.transform(products, entry)))
+
+
 class StarSchema:
     """Lazy entities over the Parquet tables in one directory."""
 
     def __init__(self, spark: SparkSession, directory: str):
-        self.spark = prepare(spark)
+        self.spark = spark
         self.directory = directory
         self._tables: dict[str, DataFrame] = {}
 
@@ -70,8 +86,13 @@ class StarSchema:
 
     # -- transactions -----------------------------------------------------------------
 
-    def raw_transactions(self) -> DataFrame:
-        """Orders as uncleaned transactions, without their items."""
+    def raw_transactions(self, tidy_status: bool = False) -> DataFrame:
+        """Orders as uncleaned transactions, without their items; with a tidy status, a filter
+        on it becomes one on the order's own."""
+        done = "completed" if tidy_status else " Completed"
+        status = F.lit(None).cast("string")
+        for code, name in (("P", "shipped"), ("O", "processing"), ("F", done)):
+            status = F.when(F.col("o_orderstatus").eqNullSafe(code), name).otherwise(status)
         order = F.col("o_orderkey")
         slot = F.lit(1) + F.floor(order / 4).cast("bigint") % SESSION_SLOTS
         return (
@@ -87,10 +108,7 @@ class StarSchema:
                 "subtotal",
                 "discount",
                 F.col("o_totalprice").alias("total"),
-                F.when(F.col("o_orderstatus") == "F", " Completed")
-                .when(F.col("o_orderstatus") == "O", "processing")
-                .when(F.col("o_orderstatus") == "P", "shipped")
-                .alias("status"),
+                status.alias("status"),
                 "n_lines",
             )
         )
@@ -157,15 +175,13 @@ class StarSchema:
         )
 
     def categories(self) -> DataFrame:
-        """Brands as categories with their part types; one brand is left out on purpose,
-        so that products without a category occur."""
+        """Brands as categories with their part types."""
         sub = F.struct(
             F.concat_ws("/", "p_brand", "p_type").alias("subcategory_id"),
             F.col("p_type").alias("name"),
         )
         return (
             self.table("part")
-            .filter(F.col("p_brand") != UNCATEGORISED_BRAND)
             .groupBy(F.col("p_brand").alias("category_id"))
             .agg(F.collect_set(sub).alias("subcategories"))
             .withColumn("name", F.concat(F.lit("Category "), "category_id"))
@@ -220,26 +236,50 @@ class StarSchema:
             F.floor(seconds / SESSION_GAP_SECONDS).alias("slice"),
         )
 
-    def _slices(self) -> DataFrame:
+    def _slices(self, with_clicks: bool = False) -> DataFrame:
         """One row per user and active time slice, with the session it belongs to.
 
         Events are summed per slice before anything is ordered by user, so the window
-        sees at most two rows per user and day however many events a user has.
+        sees at most two rows per user and day however many events a user has.  With
+        ``with_clicks`` a slice carries its clicked products (number and top price of
+        each), which are as many as a user touches in half a day.
         """
         event_type = F.col("event_type")
-        slices = (
-            self._events()
-            .groupBy("user_id", "slice")
-            .agg(
-                F.min("ts").alias("first_ts"),
+        click = event_type == "click"
+        events, first = self._events(), F.struct("event_id", "k")
+        if with_clicks:
+            events = events.groupBy("user_id", "slice", "k").agg(
+                F.min("ts").alias("ts"),
                 F.max("ts").alias("last_ts"),
-                F.min("event_id").alias("first_event"),
-                F.min_by("k", "event_id").alias("first_k"),
-                F.count("*").alias("n_events"),
+                F.min("event_id").alias("event_id"),
+                F.count("*").alias("n"),
                 F.count_if(event_type == "purchase").alias("purchases"),
-                F.count_if(event_type == "click").alias("clicks"),
+                F.count_if(click).alias("clicks"),
+                F.max(F.when(click, F.col("value"))).alias("price"),
             )
+            line = F.struct(
+                F.col("k").cast("string").alias("product"), F.col("clicks").alias("quantity"), "price"
+            )
+            counts = [
+                F.max("last_ts").alias("last_ts"),
+                F.sum("n").alias("n_events"),
+                F.sum("purchases").alias("purchases"),
+                F.sum("clicks").alias("clicks"),
+                F.collect_list(F.when(F.col("clicks") > 0, line)).alias("lines"),
+            ]
+        else:
+            counts = [
+                F.max("ts").alias("last_ts"),
+                F.count("*").alias("n_events"),
+                F.count_if(event_type == "purchase").alias("purchases"),
+                F.count_if(click).alias("clicks"),
+            ]
+        slices = events.groupBy("user_id", "slice").agg(
+            F.min("ts").alias("first_ts"), F.min(first).alias("first"), *counts
         )
+        slices = slices.withColumns(
+            {"first_event": F.col("first.event_id"), "first_k": F.col("first.k")}
+        ).drop("first")
         by_user = Window.partitionBy("user_id").orderBy("slice")
         gap = F.unix_micros("first_ts") - F.unix_micros(F.lag("last_ts").over(by_user))
         begins = F.coalesce(gap > SESSION_GAP_SECONDS * 1_000_000, F.lit(True))
@@ -261,8 +301,9 @@ class StarSchema:
             .otherwise("browsed")
         )
         place = "struct<city:string, state:string, country:string, ip_address:string>"
+        lines = [F.flatten(F.collect_list("lines")).alias("lines")] if with_cart else []
         grouped = (
-            self._slices()
+            self._slices(with_cart)
             .groupBy("user_id", "session_no")
             .agg(
                 F.min("first_ts").alias("start_time"),
@@ -270,12 +311,10 @@ class StarSchema:
                 F.min_by("first_k", "first_event").alias("k"),
                 F.sum("purchases").alias("purchases"),
                 F.sum("clicks").alias("clicks"),
+                *lines,
             )
         )
-        if with_cart:
-            grouped = grouped.join(self._carts(), ["user_id", "session_no"], "left")
-        else:
-            grouped = grouped.withColumn("cart_contents", F.lit(None))
+        cart = _cart(F.col("lines")) if with_cart else F.lit(None)
         seconds = F.unix_seconds("end_time") - F.unix_seconds("start_time")
         return grouped.select(
             F.concat_ws("#", "user_id", "session_no").alias("session_id"),
@@ -285,40 +324,22 @@ class StarSchema:
             seconds.cast("int").alias("duration_seconds"),
             F.lit(None).cast(place).alias("geo_data"),
             F.when(first_k % 50 != 0, profile).alias("device_profile"),
-            F.col("cart_contents").cast("map<string, struct<quantity:int, price:double>>"),
+            cart.cast("map<string, struct<quantity:int, price:double>>").alias("cart_contents"),
             status.alias("conversion_status"),
             _pick(REFERRERS, first_k).alias("referrer"),
         )
 
-    def _carts(self) -> DataFrame:
-        """Cart of each session: clicked products with number of clicks and top price."""
-        sessions = self._slices().select("user_id", "slice", "session_no")
-        lines = (
-            self._events()
-            .filter(F.col("event_type") == "click")
-            .groupBy("user_id", "slice", "k")
-            .agg(F.count("*").alias("quantity"), F.max("value").alias("price"))
-            .join(sessions, ["user_id", "slice"])
-            .groupBy("user_id", "session_no", F.col("k").cast("string").alias("product"))
-            .agg(
-                F.struct(
-                    F.sum("quantity").cast("int").alias("quantity"), F.max("price").alias("price")
-                ).alias("line")
-            )
-        )
-        return lines.groupBy("user_id", "session_no").agg(
-            F.map_from_entries(F.collect_list(F.struct("product", "line"))).alias("cart_contents")
-        )
-
     def page_views(self) -> DataFrame:
         """Events as page views, without their session."""
-        page = F.create_map(*[F.lit(part) for pair in PAGE_TYPES.items() for part in pair])
+        page = F.lit(None).cast("string")
+        for event_type, name in reversed(PAGE_TYPES.items()):
+            page = F.when(F.col("event_type").eqNullSafe(event_type), name).otherwise(page)
         return self._events().select(
             "event_id",
             "user_id",
             "slice",
             F.col("ts").alias("timestamp"),
-            page[F.col("event_type")].alias("page_type"),
+            page.alias("page_type"),
             F.col("k").cast("bigint").alias("product_id"),
             F.lit(None).cast("string").alias("category_id"),
             F.floor("value").cast("int").alias("view_duration"),
@@ -327,21 +348,37 @@ class StarSchema:
     def session_page_views(self) -> DataFrame:
         """Page views with their session and position in it.
 
-        Positions are counted inside a time slice and moved by the events of the
-        session's earlier slices, so no window holds a user's whole history.
+        Positions are counted inside a minute, and moved by the events of the minutes before
+        in the time slice and by those of the session's earlier slices.  The largest window
+        over events is one user's minute; the others see a row for each minute or slice.
         """
         earlier = Window.partitionBy("user_id", "session_no").orderBy("slice")
         slices = self._slices().select(
             "user_id",
             "slice",
             F.concat_ws("#", "user_id", "session_no").alias("session_id"),
-            (F.sum("n_events").over(earlier) - F.col("n_events")).alias("before"),
+            (F.sum("n_events").over(earlier) - F.col("n_events")).alias("before_slice"),
         )
-        in_slice = Window.partitionBy("user_id", "slice").orderBy("timestamp", "event_id")
-        position = F.col("before") + F.row_number().over(in_slice) - 1
-        return (
-            self.page_views()
+        views = self.page_views().withColumn(
+            "minute", F.floor(F.unix_seconds("timestamp") / POSITION_SECONDS)
+        )
+        in_slice = Window.partitionBy("user_id", "slice").orderBy("minute")
+        minutes = (
+            views.groupBy("user_id", "slice", "minute")
+            .agg(F.count("*").alias("n"))
+            .withColumn("before_minute", F.sum("n").over(in_slice) - F.col("n"))
             .join(slices, ["user_id", "slice"])
-            .withColumn("seq", position)
-            .drop("before", "slice", "event_id")
+            .select(
+                "user_id",
+                "minute",
+                "session_id",
+                (F.col("before_slice") + F.col("before_minute")).alias("before"),
+            )
+        )
+        in_minute = Window.partitionBy("user_id", "minute").orderBy("timestamp", "event_id")
+        return (
+            views.withColumn("at", F.row_number().over(in_minute) - 1)
+            .join(minutes, ["user_id", "minute"])
+            .withColumn("seq", F.col("before") + F.col("at"))
+            .drop("before", "at", "slice", "minute", "event_id")
         )

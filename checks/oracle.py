@@ -71,8 +71,8 @@ CTES: dict[str, str] = {
         FROM line l JOIN done d USING (transaction_id)""",
     "product": """
         SELECT p_partkey AS product_id, p_name AS name,
-               CASE WHEN p_brand <> 'Brand#25' THEN 'Category ' || p_brand END AS category,
-               CASE WHEN p_brand <> 'Brand#25' THEN p_type END AS subcategory
+               'Category ' || p_brand AS category,
+               p_type AS subcategory
         FROM part""",
     "buyer": """
         SELECT c_custkey AS user_id, min(o_orderdate) AS registration_date,
@@ -375,7 +375,7 @@ SELECTS: dict[str, str] = {
         SELECT referrer, CAST(converted AS DOUBLE) / total * 100 AS conversion_pct FROM funnel""",
     "device_os_matrix": f"""
         SELECT coalesce(device, 'unknown') AS device_type,
-               {", ".join(map(matrix_cell, ["iOS", "Android", "Windows", "macOS", "unknown"]))}
+               {", ".join(map(matrix_cell, ["iOS", "Android", "Windows", "macOS", "other", "unknown"]))}
         FROM linked GROUP BY 1""",
     "kpi_summary": f"""
         SELECT {usd("sum(total_cents)")} AS total_revenue,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from basketry.operators import baskets, clean, customers, keyed, revenue, summary
 from basketry.operators import sessions as funnels
 from basketry.plans.profile import customer_profile
+from basketry.session import prepare
 from basketry.sources.star import OPERATING_SYSTEMS, StarSchema
 
 MID_SPEND, HIGH_SPEND = 500_000.0, 1_000_000.0
@@ -36,7 +37,7 @@ class Entities(StarSchema):
     """The cleaned entities the operators take."""
 
     def transactions(self) -> DataFrame:
-        return clean.clean_transactions(self.raw_transactions())
+        return clean.clean_transactions(self.raw_transactions(tidy_status=True), tidy_status=True)
 
     def lines(self, with_discount: bool = False) -> DataFrame:
         return self.order_lines(self.transactions(), with_discount)
@@ -51,7 +52,7 @@ class Entities(StarSchema):
         return customer_profile(self.transactions(), self.sessions(), self.users())
 
     def session_rows(self) -> DataFrame:
-        return keyed.user_session_rows(self.sessions(), seq="session_id")
+        return keyed.user_session_rows(self.sessions(), seq=["end_time", "session_id"])
 
 
 def _flat_session_rows(rows: DataFrame) -> DataFrame:
@@ -59,7 +60,7 @@ def _flat_session_rows(rows: DataFrame) -> DataFrame:
 
 
 def clean_transactions(e: Entities) -> DataFrame:
-    return e.transactions().select(
+    return clean.clean_transactions(e.raw_transactions()).select(
         "transaction_id", "session_id", "user_id", _time_text("timestamp"), "subtotal",
         "discount", "total", "status", "is_suspicious", _date_text("date"), "year_month",
     )
@@ -206,12 +207,11 @@ def referrer_conversion(e: Entities) -> DataFrame:
 
 
 def device_os_matrix(e: Entities) -> DataFrame:
-    columns = (*OPERATING_SYSTEMS, "unknown")
-    return funnels.device_os_matrix(e.transactions(), e.sessions(), columns)
+    return funnels.device_os_matrix(e.transactions(), e.sessions(), OPERATING_SYSTEMS)
 
 
 def user_session_rows(e: Entities) -> DataFrame:
-    rows = keyed.user_session_rows(e.sessions(with_cart=True), seq="session_id")
+    rows = keyed.user_session_rows(e.sessions(with_cart=True), seq=["end_time", "session_id"])
     return _flat_session_rows(rows)
 
 
@@ -339,7 +339,7 @@ OPERATORS = (
 
 
 def _bound(operator: Callable[[Entities], DataFrame]) -> Query:
-    return lambda spark, directory: operator(Entities(spark, directory))
+    return lambda spark, directory: operator(Entities(prepare(spark), directory))
 
 
 def queries() -> dict[str, Query]:

@@ -3,6 +3,7 @@ from collections import Counter
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketry.operators import baskets
 
@@ -51,8 +52,8 @@ def test_repeats_count_and_unknown_products_make_no_pair(spark):
 
 
 @pytest.mark.parametrize("seed", range(6))
-def test_large_baskets_give_the_same_counts_without_listing_their_pairs(spark, seed):
-    """Baskets over the limit, among them copies, repeats and one with most of the lines."""
+def test_baskets_of_any_size_give_the_same_counts(spark, seed):
+    """Large baskets, among them copies, repeats and one with most of the lines."""
     rng = random.Random(seed)
     catalog = set(range(40)) - {5}
     contents = {
@@ -65,20 +66,41 @@ def test_large_baskets_give_the_same_counts_without_listing_their_pairs(spark, s
         contents["huge"] = [p for p in range(40) for _ in range(rng.randint(1, 3))]
     if seed > 3:
         contents |= {f"big{i}": rng.sample(range(40), 12) for i in range(5)}
-    for top_n in (1, 10):
+    for top_n, scouts in ((1, 64), (10, 5)):
         expected = brute_force(contents, catalog, top_n, 2)
-        assert found(spark, contents, catalog, top_n=top_n, max_basket=4) == expected
+        assert found(spark, contents, catalog, top_n=top_n, scouts=scouts) == expected
 
 
-def test_limit_does_not_change_the_result(spark):
+def test_scouts_do_not_change_the_result(spark):
     rng = random.Random(11)
     contents = {f"t{i}": rng.choices(range(15), k=rng.randint(1, 9)) for i in range(80)}
     expected = brute_force(contents, set(range(15)), 25, 3)
-    for max_basket in (1, 5, 200):
-        options = dict(top_n=25, min_support=3, max_basket=max_basket)
+    for scouts in (2, 8, 64):
+        options = dict(top_n=25, min_support=3, scouts=scouts)
         assert found(spark, contents, set(range(15)), **options) == expected
 
 
+def test_many_unrelated_large_baskets_list_few_pairs(spark):
+    """Of 12,000 products in baskets of 300 only those with a possible winner are paired."""
+    contents = {f"large{i}": list(range(1000 + 300 * i, 1300 + 300 * i)) for i in range(40)}
+    contents |= {f"t{i}": [1, 2, 3 + i % 3] for i in range(12)}
+    catalog = {p for products in contents.values() for p in products}
+    assert found(spark, contents, catalog, top_n=3) == brute_force(contents, catalog, 3, 2)
+    bought = lines_of(spark, contents).filter("status = 'completed'").groupBy(
+        "transaction_id", "product_id").agg(F.count("*").alias("times"))
+    kept = baskets.candidate_lines(bought, 3, 2)
+    assert kept.count() == 36
+    assert baskets.listed_pairs(kept).agg(F.sum("n")).first()[0] == 36
+
+
+def test_building_the_query_starts_no_job(spark, tmp_path):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    baskets.copurchase_pairs(lines_of(spark, {"t": [1, 2]}), catalog_of(spark, {1, 2}))
+    assert not tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_purchase_counts_are_lines(spark):
     counted = baskets.product_purchase_counts(lines_of(spark, {"t1": [1, 1], "t2": [1, 2]}))
     assert {r.product_id: r.purchase_count for r in counted.collect()} == {1: 3, 2: 1}

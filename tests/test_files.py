@@ -1,6 +1,8 @@
 import json
 
-from basketry.operators import keyed
+import pytest
+
+from basketry.operators import clean, keyed
 from basketry.sources import files
 from tests.build import dicts, sessions
 
@@ -21,16 +23,19 @@ def visit(number):
 def test_session_chunks_are_one_table_whatever_their_layout(spark, tmp_path):
     (tmp_path / "sessions_0.json").write_text(json.dumps([visit(0), visit(1)]))
     (tmp_path / "sessions_1.json").write_text("\n".join(json.dumps(visit(i)) for i in (2, 3)))
-    loaded = files.load_sessions(spark, f"{tmp_path}/sessions_*.json")
+    (tmp_path / "sessions_2 b.json").write_text("\n " + json.dumps([visit(4), visit(5)], indent=2))
+    (tmp_path / "sessions_3.json").write_text("")
+    loaded = clean.clean_sessions(files.load_sessions(spark, f"{tmp_path}/sessions_*.json"))
     rows = {r["session_id"]: r for r in dicts(loaded)}
-    assert set(rows) == {"s0", "s1", "s2", "s3"}
+    assert set(rows) == {f"s{i}" for i in range(6)}
     assert rows["s2"]["cart_contents"] == {"p2": {"quantity": 1, "price": 2.0}}
     assert rows["s0"]["referrer"] is None and rows["s0"]["geo_data"]["state"] is None
+    assert rows["s5"]["duration_seconds"] == 5
     paths = [str(tmp_path / "sessions_0.json"), str(tmp_path / "sessions_1.json")]
     assert files.load_sessions(spark, paths).count() == 4
 
 
-def test_spread_out_arrays_need_multi_line(spark, tmp_path):
+def test_an_indented_array_is_read_whole(spark, tmp_path):
     categories = [
         {
             "category_id": "c1",
@@ -41,19 +46,44 @@ def test_spread_out_arrays_need_multi_line(spark, tmp_path):
     ]
     path = tmp_path / "categories.json"
     path.write_text(json.dumps(categories, indent=2))
-    loaded = dicts(files.read_entity(spark, "categories", str(path), multi_line=True))
-    assert loaded == categories
+    assert dicts(clean.clean_categories(files.read_entity(spark, "categories", str(path)))) == categories
 
 
-def test_amounts_of_either_type_and_junk(spark, tmp_path):
+def test_amounts_as_text_count_and_junk_is_null(spark, tmp_path):
     path = tmp_path / "transactions.json"
+    item = {"product_id": "p", "quantity": "2", "unit_price": "1.50", "subtotal": 3}
     path.write_text(
-        json.dumps([{"transaction_id": "a", "discount": 0, "total": 5.5},
-                    {"transaction_id": "b", "discount": 1.25, "total": "junk"}])
+        json.dumps([{"transaction_id": "a", "discount": 0, "total": 5.5, "items": [item]},
+                    {"transaction_id": "b", "discount": "1.5", "total": "12.50", "items": None},
+                    {"transaction_id": "c", "discount": None, "total": "junk"}])
     )
-    rows = {r["transaction_id"]: r for r in dicts(files.read_entity(spark, "transactions", str(path)))}
-    assert rows["a"]["discount"] == 0.0 and rows["b"]["discount"] == 1.25
-    assert rows["b"]["total"] is None
+    raw = files.read_entity(spark, "transactions", str(path))
+    rows = {r["transaction_id"]: r for r in dicts(clean.clean_transactions(raw))}
+    assert (rows["a"]["discount"], rows["a"]["total"]) == (0.0, 5.5)
+    assert (rows["b"]["discount"], rows["b"]["total"]) == (1.5, 12.5)
+    assert (rows["c"]["discount"], rows["c"]["total"]) == (0.0, None)
+    assert rows["a"]["items"] == [{"product_id": "p", "quantity": 2, "unit_price": 1.5, "subtotal": 3.0}]
+
+
+@pytest.mark.parametrize("cut", ['{"category_id": "c1", "na', '{"category_id": "c1"}\n{"cat', '[{"category_id": "c1"'])
+def test_a_truncated_record_fails(spark, tmp_path, cut):
+    path = tmp_path / "categories.json"
+    path.write_text(cut)
+    with pytest.raises(Exception, match="(?i)malformed|corrupt"):
+        files.read_entity(spark, "categories", str(path)).collect()
+
+
+def test_products_as_text(spark, tmp_path):
+    path = tmp_path / "products.json"
+    path.write_text(json.dumps([
+        {"product_id": "a", "base_price": "9.99", "current_stock": "3", "is_active": "true",
+         "price_history": [{"price": "1", "date": "d"}, {"price": 2, "date": "d"}]},
+        {"product_id": "b", "base_price": 1, "current_stock": None, "is_active": False},
+    ]))
+    rows = {r["product_id"]: r for r in dicts(clean.clean_products(files.read_entity(spark, "products", str(path))))}
+    assert (rows["a"]["base_price"], rows["a"]["current_stock"], rows["a"]["is_active"]) == (9.99, 3, True)
+    assert rows["a"]["is_price_volatile"] and rows["a"]["price_history"][1]["price"] == 2.0
+    assert (rows["b"]["current_stock"], rows["b"]["is_active"], rows["b"]["price_history_len"]) == (0, False, 0)
 
 
 def test_optional_table(spark, tmp_path):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.keys import MAX_LONG
 from basketry.operators import keyed, revenue
+from basketry.sources import files
 from tests.build import by, dicts, frame, item, sessions, transactions, txn
 
 START = "2024-03-01T10:00:00"
@@ -166,3 +167,49 @@ def test_empty_sessions(spark):
     assert keyed.user_session_rows(df, seq="session_id").collect() == []
     assert keyed.product_performance_daily(keyed.page_views(df)).collect() == []
     assert keyed.cart_adds_daily(df).collect() == []
+
+
+def test_no_session_is_lost_to_an_early_or_unreadable_time(spark):
+    df = sessions(
+        spark,
+        dict(user_id="u1", start_time="1969-12-31T23:59:59"),
+        dict(user_id="u2", start_time="1969-01-01T00:00:00"),
+        dict(user_id="u3", start_time="junk"),
+        dict(user_id="u4", start_time=START),
+        dict(user_id=None, start_time=START),
+    )
+    rows = dicts(keyed.user_session_rows(df, seq=["end_time", "session_id"]))
+    assert sorted(r["user_id"] for r in rows) == ["u1", "u2", "u4"]
+    early = {r["user_id"]: r["row_key"].split("#")[1] for r in rows}
+    assert early["u4"] < early["u1"] < early["u2"]
+    rejected = dicts(keyed.rejected_sessions(df))
+    assert sorted(r["session_id"] for r in rejected) == ["s2", "s4"]
+
+
+def test_the_last_write_is_the_one_that_ended_last(spark):
+    df = sessions(
+        spark,
+        dict(session_id="1#10", start_time=START, end_time="2024-03-01T12:00:00", referrer="late"),
+        dict(session_id="1#9", start_time=START, end_time="2024-03-01T11:00:00", referrer="early"),
+    )
+    rows = dicts(keyed.user_session_rows(df, seq=["end_time", "session_id"]))
+    assert [r["meta"]["referrer"] for r in rows] == ["late"]
+    plan = keyed.user_session_rows(df, seq="session_id")._jdf.queryExecution().executedPlan()
+    assert "SortAggregate" not in plan.toString()
+
+
+def test_the_stored_product_table_is_read_by_day(spark, tmp_path):
+    carts = keyed.cart_adds_daily(sessions(spark, dict(start_time=START, cart_contents={"p9": (1, 1.5)})))
+    sold = revenue.product_sales_daily(
+        revenue.order_lines(transactions(spark, txn(1, items=[item("p1", 2, 5.0)])))
+    )
+    table = keyed.product_performance_table(keyed.product_performance_daily(views(spark)), carts, sold)
+    path = str(tmp_path / "performance")
+    files.to_keyed_parquet(table, path, partition_by=["day"])
+    stored = spark.read.schema(table.schema).parquet(path)
+    found = keyed.product_performance_range(stored, None, "20240301", "20240302")
+    totals = {r.product_id: r.total_views for r in found.collect()}
+    assert totals == {"p1": 3, "p9": 0}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "day" in filters and "20240301" in filters and "20240302" in filters

@@ -90,3 +90,23 @@ def test_totals_agree_across_reports(spark):
     assert per_line > total("daily_revenue", "daily_discount")
     funnel = QUERIES["funnel_by_referrer"](spark, TABLES)
     assert funnel.filter("converted + abandoned + browsed != total_sessions").count() == 0
+
+
+def scans(plan: str, table: str) -> int:
+    return sum(
+        "FileScan parquet" in line and f"{table}.parquet" in line for line in plan.splitlines()
+    )
+
+
+@pytest.mark.parametrize(
+    ("name", "most"),
+    [("user_session_rows", 1), ("cart_adds_daily", 1), ("recent_sessions", 1),
+     ("product_performance_table", 2)],
+)
+def test_events_are_scanned_once_for_sessions_and_carts(spark, name, most):
+    assert scans(plan_of(QUERIES[name](spark, TABLES)), "events") == most
+
+
+def test_status_and_event_filters_reach_the_scan(spark):
+    assert "EqualNullSafe(o_orderstatus,F)" in plan_of(QUERIES["daily_revenue"](spark, TABLES))
+    assert "EqualNullSafe(event_type,view)" in plan_of(QUERIES["product_performance_daily"](spark, TABLES))

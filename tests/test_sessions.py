@@ -80,7 +80,18 @@ def test_revenue_by_device_multiplies_by_repeated_sessions_but_not_distinct_orde
 
 
 def test_device_matrix_fills_zero_and_names_unknown(spark):
-    for values in (None, ["iOS", "unknown"]):
+    for values in (funnels.OPERATING_SYSTEMS, ["iOS", "unknown"]):
         rows = by(funnels.device_os_matrix(*linked(spark), values), "device_type")
         assert rows["mobile"].iOS == 1.1 and rows["mobile"].unknown == 0.0
         assert rows["unknown"].unknown == 2.1 and rows["unknown"].iOS == 0.0
+
+
+def test_device_matrix_keeps_the_revenue_of_systems_without_a_column(spark):
+    bought, visited = linked(spark)
+    matrix = by(funnels.device_os_matrix(bought, visited, ["Windows"]), "device_type")
+    whole = funnels.revenue_by_device_os(bought, visited).collect()
+    for device, row in matrix.items():
+        revenue = sum(r.revenue for r in whole if (r.device_type or "unknown") == device)
+        held = row.Windows + row.other + row.unknown
+        assert abs(held - revenue / 1000) <= 0.15
+    assert matrix["mobile"].other == 1.1
