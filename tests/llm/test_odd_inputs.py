@@ -4,6 +4,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from basketry.llm import chat, decontaminate, html, kdtree, lines, packing, quality, simhash
 from basketry.llm import substrings, tokens
 
@@ -77,3 +78,35 @@ def test_repeated_rows_are_judged_alike(odd):
     ):
         rows = found.filter("doc_id = 4").select(columns).collect()
         assert len(rows) == 2 and rows[0] == rows[1]
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """A directory with a benchmark, which one stage reads."""
+    folder = tmp_path_factory.mktemp("tables")
+    _benchmark(spark.range(0)).write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("stage", range(len(corpus_pipeline.STAGES)))
+def test_stages_take_odd_rows_more_columns_and_none(spark, odd, clashing, empty, tables, stage):
+    function = corpus_pipeline.STAGES[stage][1]
+    found = function(spark, clashing, tables)
+    last = stage == len(corpus_pipeline.STAGES) - 1
+    assert last or found.columns == corpus_pipeline.COLUMNS
+    rows = lambda df: sorted(map(str, df.select(*found.columns[:3]).collect()))
+    if not last:  # equal pieces may swap places in the packing
+        assert rows(found) == rows(function(spark, odd, tables))
+    assert function(spark, empty, tables).collect() == []
+
+
+def test_stages_keep_and_drop_odd_rows_as_said(spark, odd, tables):
+    kept = {
+        name: sorted((r["doc_id"] is not None, r["doc_id"]) for r in stage(spark, odd, tables).collect())
+        for name, stage in corpus_pipeline.STAGES[:-1]
+    }
+    ids = {name: [i for there, i in held if there] for name, held in kept.items()}
+    assert ids["quality rules"] == [4, 4, 5, 8]
+    assert ids["line dedup"] == [1, 2, 3, 4, 4, 5, 7, 8]
+    assert ids["SimHash near-dedup"] == [1, 4, 7, 8]  # null, empty and blank texts are alike
+    assert ids["benchmark decontamination"] == [1, 2, 3, 4, 4, 5, 7, 8]
