@@ -246,7 +246,7 @@ class StarSchema:
         """
         event_type = F.col("event_type")
         click = event_type == "click"
-        events, first = self._events(), F.struct("event_id", "k")
+        events = self._events()
         if with_clicks:
             events = events.groupBy("user_id", "slice", "k").agg(
                 F.min("ts").alias("ts"),
@@ -275,11 +275,11 @@ class StarSchema:
                 F.count_if(click).alias("clicks"),
             ]
         slices = events.groupBy("user_id", "slice").agg(
-            F.min("ts").alias("first_ts"), F.min(first).alias("first"), *counts
+            F.min("ts").alias("first_ts"),
+            F.min("event_id").alias("first_event"),
+            F.min_by("k", "event_id").alias("first_k"),
+            *counts,
         )
-        slices = slices.withColumns(
-            {"first_event": F.col("first.event_id"), "first_k": F.col("first.k")}
-        ).drop("first")
         by_user = Window.partitionBy("user_id").orderBy("slice")
         gap = F.unix_micros("first_ts") - F.unix_micros(F.lag("last_ts").over(by_user))
         begins = F.coalesce(gap > SESSION_GAP_SECONDS * 1_000_000, F.lit(True))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from basketry.plans import reports
 
-# Columns of the published report files.
+# Columns of the published report files.
 COLUMNS = {
     "daily_revenue": "date daily_orders daily_revenue rolling_7d_avg daily_discount",
     "cohort_analysis": "cohort_month txn_month active_users cohort_revenue arpu",
