@@ -138,8 +138,8 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    printed = simhash.with_fingerprints(docs, "text", "fingerprint", shingle=3)
-    grouped = simhash.fingerprint_groups(checkpointed(printed.drop("text")), max_bits=2)
+    printed = checkpointed(simhash.fingerprints(docs, "text", shingle=3))
+    grouped = simhash.fingerprint_groups(printed, max_bits=2)
     return grouped.select(
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
     )

@@ -56,12 +56,16 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(set_bits, bitorder="little").view(np.int64)[0])
 
 
-def with_fingerprints(docs: DataFrame, text: str, name: str, shingle: int) -> DataFrame:
+def fingerprints(docs: DataFrame, text: str, shingle: int) -> DataFrame:
+    """``docs`` with ``fingerprint`` in place of ``text``, which goes to Python and not back."""
+    kept = [name for name in docs.columns if name != text]
+
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         values = [fingerprint(t, shingle) for t in batch.column(text).to_pylist()]
-        return replaced(batch, {name: pa.array(values, pa.int64())})
+        return replaced(batch.select(kept), {"fingerprint": pa.array(values, pa.int64())})
 
-    schema = StructType([*docs.schema.fields, StructField(name, LongType())])
+    fields = [f for f in docs.schema.fields if f.name != text]
+    schema = StructType([*fields, StructField("fingerprint", LongType())])
     return map_slices(docs, text, work, schema)
 
 
@@ -179,10 +183,16 @@ def simhash_groups(
     Words are ASCII-lower-cased runs without ASCII white space; a text of fewer words than a
     shingle is one shingle.  Null and empty texts have fingerprint 0 and are linked like any
     other.  Repeated rows share a group.  A null ``ident`` is never the smallest; a group of such
-    rows alone has a null ``component_id``.  Columns of the two new names are replaced.  Texts are
-    fingerprinted twice rather than stored.
+    rows alone has a null ``component_id``.  Columns of the two new names are replaced.
+
+    Fingerprints are kept by ``ident`` and a hash of the text, and joined with ``docs`` by both.
     """
     docs = docs.drop("fingerprint", "component_id")
-    return fingerprint_groups(
-        with_fingerprints(docs, text, "fingerprint", shingle), ident, max_bits, segments, crowd
-    )
+    mark = F.xxhash64(text)
+    keyed = docs.select(F.col(ident).alias("ident"), mark.alias("mark"), F.col(text).alias("text"))
+    printed = checkpointed(fingerprints(keyed, "text", shingle)).dropDuplicates(["ident", "mark"])
+    found = fingerprint_groups(printed, "ident", max_bits, segments, crowd)
+    a, b = free_name(docs, "ident_of"), free_name(docs, "mark_of")
+    found = found.withColumnsRenamed({"ident": a, "mark": b})
+    same = F.col(ident).eqNullSafe(F.col(a)) & (mark == F.col(b))
+    return docs.join(found, same).select(*docs.columns, "fingerprint", "component_id")

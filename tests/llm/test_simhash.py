@@ -50,6 +50,7 @@ def test_groups_equal_brute_force(spark, most, crowd):
         value = pick.getrandbits(64) if i < 20 or pick.random() < 0.2 else pick.choice(prints)[1]
         for _ in range(pick.choice([0, 1, 2, 3])):
             value ^= 1 << pick.randrange(64)
+        value &= (1 << 64) - 1
         prints.append((i, value - (1 << 64) if value >> 63 else value))
     pick.shuffle(prints)
     given = spark.createDataFrame(prints, "doc_id long, fingerprint long")
