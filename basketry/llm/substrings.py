@@ -36,7 +36,7 @@ WINDOW, PHRASE, STRIDE = 20, 8, 5
 CROWD = 20_000
 #: Words of segments that one shard indexes, about.
 SHARD_WORDS = 400_000
-MEMO = 500_000
+MEMO = 200_000
 _NO_ID = -(1 << 63)
 #: Words of one text up to which a place fits beside the hash that is compared.
 _PLACE_BITS = 24

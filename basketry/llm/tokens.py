@@ -11,8 +11,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from array import array
-from collections.abc import Iterator
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -27,7 +26,7 @@ from tokenizers import Tokenizer
 from basketry.llm.batches import map_slices, replaced
 
 #: Chunks a worker remembers; beyond that it starts anew, which changes no result.
-MEMO = 800_000
+MEMO = 300_000
 #: How byte-level BPE cuts texts into pre-tokens; a fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _BORDER = re.compile(r" (?=\S)")
@@ -40,6 +39,19 @@ def chunks(text: str) -> list[str]:
     return _BORDER.split(text) if _OTHER_SPACE.search(text) else text.split(" ")
 
 
+class _Chunks(dict):
+    """What ``encode`` gives for chunks, those met so far remembered."""
+
+    def __init__(self, encode: Callable[[str], bytes]) -> None:
+        self.encode = encode
+
+    def __missing__(self, chunk: str) -> bytes:
+        if len(self) >= MEMO:
+            self.clear()
+        self[chunk] = ids = self.encode(f" {chunk}")
+        return ids
+
+
 class TokenIds:
     """Ids of a byte-level BPE tokenizer, as little-endian unsigned 32-bit integers.
 
@@ -50,49 +62,34 @@ class TokenIds:
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}
         model = json.loads(self.tokenizer.to_str())["model"]
         to_byte = {c: b for b, c in _byte_letters().items()}
         ranks = {bytes(map(to_byte.__getitem__, t)): i for t, i in model["vocab"].items()}
         merged = ["".join(pair) for pair in model["merges"]]
         ranked = [model["vocab"].get(t) for t in merged] == list(range(256, 256 + len(merged)))
-        self.quick = (
-            tiktoken.Encoding(
-                "ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
-            ).encode_ordinary
-            if ranked
-            else None
+        self.quick = ranked and tiktoken.Encoding(
+            "ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
+        self.memo = _Chunks(self._plain)
 
-    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
-        for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            yield np.array(e.ids, "<u4").tobytes()
+    def _whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
 
-    def _plain(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of texts without special strings."""
+    def _plain(self, text: str) -> bytes:
+        """Ids of a text without special strings."""
         if not self.quick:
-            return self._encoded(texts)
-        return (array("I", ids).tobytes() for ids in map(self.quick, texts))
+            return self._whole(text)
+        return np.array(self.quick.encode_ordinary(text), "<u4").tobytes()
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        cut = [
-            None if any(s in t for s in self.special) else chunks(t) for t in (t or "" for t in texts)
-        ]
-        seen: set[str] = set()
-        for parts in cut:
-            if parts:
-                seen.update(parts[1:])
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        new = [c for c in seen if c not in memo]
-        memo.update(zip(new, self._plain([f" {c}" for c in new]), strict=True))
-        heads = self._plain([p[0] for p in cut if p is not None])
-        special = self._encoded([t for t, p in zip(texts, cut, strict=True) if p is None])
-        return [
-            next(special) if parts is None else next(heads) + b"".join(map(memo.__getitem__, parts[1:]))
-            for parts in cut
-        ]
+        return [self._ids(t) if t else b"" for t in texts]
+
+    def _ids(self, text: str) -> bytes:
+        if any(s in text for s in self.special):
+            return self._whole(text)
+        head, *rest = chunks(text)
+        return self._plain(head) + b"".join(map(self.memo.__getitem__, rest))
 
 
 class WordCounts:
