@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.common import checkpointed, numbered
 
-PLACE_BITS, KEY_BITS, STEP_BITS = 31, 63, 16
+PLACE_BITS, KEY_BITS, STEP_BITS = 31, 63, 21
 ROWS_PER_BUCKET = 100_000
 
 
