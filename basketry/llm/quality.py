@@ -35,6 +35,8 @@ CLASSES = {
     "space": r"[^\x20\x09-\x0D]+",
     "mark": r"[^.,;:!?'\"()\-]+",
 }
+#: Languages, of about 300 bytes each, up to which their sums are sent to every executor.
+BROADCAST_LANGUAGES = 10_000
 BINS = len(COMMON_WORDS["en"].split())
 WINDOW = 5
 
@@ -182,7 +184,7 @@ def quality_rules(
     )
     counted = checkpointed(counted.withColumn("failed", failed))
     part = lambda name, i: F.sum(F.get(F.col(f"q.{name}"), F.lit(i)))
-    references = (
+    references = checkpointed(
         counted.filter(~F.col("failed"))
         .groupBy(F.col("lang").alias("of"))
         .agg(
@@ -192,6 +194,8 @@ def quality_rules(
             F.sum("q.n_words").alias("all_words"),
         )
     )
+    if references.count() <= BROADCAST_LANGUAGES:
+        references = F.broadcast(references)  # texts need not be dealt by language
     joined = counted.join(references, F.col("lang").eqNullSafe(F.col("of")), "left")
     distances = joined.withColumn(
         "class_distance",
