@@ -150,11 +150,11 @@ def fingerprint_groups(
     segments: int = SEGMENTS,
     crowd: int = CROWD,
 ) -> DataFrame:
-    """``printed``, which has a ``fingerprint``, with ``component_id``.
+    """``printed``, which has a ``fingerprint``, with ``component_id`` and ``component_root``.
 
     It is read twice: what is costly to compute again should be stored first.
     """
-    printed = printed.drop("component_id")
+    printed = printed.drop("component_id", "component_root")
     marked = checkpointed(printed.groupBy("fingerprint").agg(F.min(ident).alias("smallest")))
     edges = links(marked.select(F.col("fingerprint").alias("p")), max_bits, segments, crowd)
     p, of = F.col("fingerprint"), free_name(printed, "fingerprint_of")
@@ -162,9 +162,11 @@ def fingerprint_groups(
         p, "smallest", F.coalesce("root", p).alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    by_print = rooted.join(smallest, "root").select(p.alias(of), "component_id")
+    by_print = rooted.join(smallest, "root").select(
+        p.alias(of), "component_id", F.col("root").alias("component_root")
+    )
     return printed.join(by_print, F.col("fingerprint") == F.col(of)).select(
-        *printed.columns, "component_id"
+        *printed.columns, "component_id", "component_root"
     )
 
 
@@ -177,17 +179,18 @@ def simhash_groups(
     segments: int = SEGMENTS,
     crowd: int = CROWD,
 ) -> DataFrame:
-    """``docs`` with ``fingerprint`` (a signed long) and ``component_id``, the smallest ``ident``
-    reachable over links of at most ``max_bits`` differing bits.
+    """``docs`` with ``fingerprint`` (a signed long), ``component_id``, the smallest ``ident``
+    reachable over links of at most ``max_bits`` differing bits, and ``component_root``, the smallest
+    such fingerprint, which tells groups apart whatever their ids.
 
     Words are ASCII-lower-cased runs without ASCII white space; a text of fewer words than a
     shingle is one shingle.  Null and empty texts have fingerprint 0 and are linked like any
     other.  Repeated rows share a group.  A null ``ident`` is never the smallest; a group of such
-    rows alone has a null ``component_id``.  Columns of the two new names are replaced.
+    rows alone has a null ``component_id``.  Columns of the three new names are replaced.
 
     Fingerprints are kept by ``ident`` and a hash of the text, and joined with ``docs`` by both.
     """
-    docs = docs.drop("fingerprint", "component_id")
+    docs = docs.drop("fingerprint", "component_id", "component_root")
     mark = F.xxhash64(text)
     keyed = docs.select(F.col(ident).alias("ident"), mark.alias("mark"), F.col(text).alias("text"))
     printed = checkpointed(fingerprints(keyed, "text", shingle)).dropDuplicates(["ident", "mark"])
@@ -195,4 +198,6 @@ def simhash_groups(
     a, b = free_name(docs, "ident_of"), free_name(docs, "mark_of")
     found = found.withColumnsRenamed({"ident": a, "mark": b})
     same = F.col(ident).eqNullSafe(F.col(a)) & (mark == F.col(b))
-    return docs.join(found, same).select(*docs.columns, "fingerprint", "component_id")
+    return docs.join(found, same).select(
+        *docs.columns, "fingerprint", "component_id", "component_root"
+    )

@@ -45,12 +45,17 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document of the smallest id.
 
-    Repeated rows of that id are one document.  Groups without any id are kept as they are.
+    Where several rows have that id, or a group has no id at all, the row of the least text hash
+    stays, and of equal hashes the least row.  Rows of one id in different groups are different
+    documents.
     """
     grouped = simhash_groups(docs, shingle=3, max_bits=2)
-    first = grouped.filter(F.col("doc_id") == F.col("component_id"))
-    nameless = grouped.filter(F.col("component_id").isNull())
-    return first.dropDuplicates(["doc_id"]).unionByName(nameless).select(COLUMNS)
+    # All of a group have the same id, or none.
+    first = grouped.filter(
+        (F.col("doc_id") == F.col("component_id")) | F.col("component_id").isNull()
+    )
+    row = F.min(F.struct(F.xxhash64("text").alias("mark"), *COLUMNS)).alias("row")
+    return first.groupBy("component_root").agg(row).select("row.*").select(COLUMNS)
 
 
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -56,6 +56,18 @@ def test_one_document_of_each_group_stays(steps):
     assert all(texts(given)[i] == t for i, t in texts(rows).items())
 
 
+def test_one_row_of_each_group_stays_whatever_its_id(spark):
+    pick = np.random.default_rng(3)
+    a, b, c, d = (" ".join(pick.choice(list("abcdefghijklmnopqrstuvwxyz"), 200)) for _ in range(4))
+    rows = [(5, a), (5, b), (9, b), (5, c), (5, c + " "), (None, d), (None, d), (None, c), (None, d)]
+    rows = [(i, text, "en", "s", len(text)) for i, text in rows]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for given in (rows, rows[::-1]):
+        kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(given, schema).repartition(3), TABLES)
+        found = sorted((r["doc_id"] or 0, r["text"].strip()) for r in kept.collect())
+        assert found == sorted([(5, a), (5, b), (5, c), (0, d)])
+
+
 def test_no_benchmark_passage_is_left(spark, steps):
     given, _, rows = steps[3]
     items = [tuple(r) for r in spark.read.parquet(f"{TABLES}/benchmark.parquet").select("item_id", "text").collect()]
