@@ -1,4 +1,4 @@
-"""Substring dedup with a compressed FM-index for every shard.
+"""Substring dedup with an FM-index, of all suffix positions, for every shard.
 
 A window of consecutive words goes if its words also stand earlier in the corpus.  Searching
 every document in every shard would be quadratic, so a shard holds whatever can match:
