@@ -3,56 +3,41 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.sources import schemas
+from basketry.sources.arrays import read_records
 
 
-def _layouts(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[str]]:
-    """Files that hold an array, and others, told apart by their first character that counts."""
-    lines = spark.read.text(paths).select(
-        F.ltrim("value").alias("value"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("begins"),
-        F.monotonically_increasing_id().alias("line"),  # in order within a block
-    )
-    first = (
-        lines.filter((F.col("begins") == 0) & (F.col("value") != ""))
-        .groupBy("file")
-        .agg(F.min_by(F.substring("value", 1, 1), "line").alias("c"))
-    )
-    arrays, others = [], []
-    for row in first.collect():  # one row a file
-        (arrays if row["c"] == "[" else others).append(unquote(row["file"]))
-    return arrays, others
-
-
-def read_entity(spark: SparkSession, entity: str, paths: str | Sequence[str]) -> DataFrame:
+def read_entity(
+    spark: SparkSession, entity: str, paths: str | Sequence[str], layout: str = "objects"
+) -> DataFrame:
     """JSON files of one entity, numbers and booleans as text (``schemas.RAW``).
 
-    A file holds one record per line, or an array in any layout.  An array is one task's
-    work, so convert large inputs once with ``to_parquet``.  A record that is no JSON, or of
-    another shape, makes the job fail: nothing is read as nulls in its place.  Empty files
-    have no records.
+    ``layout`` is what the caller knows of the files: ``lines``, one record per line, which Spark's
+    own reader splits, or ``objects``, an array of records or a run of them, on any number of
+    lines, which is read in two scans by as many tasks as the files have blocks.  A record that is
+    no JSON, or of another shape, makes the job fail: nothing is read as nulls in its place.
+    Empty files have no records.
     """
-    arrays, others = _layouts(spark, [paths] if isinstance(paths, str) else list(paths))
-    reader = spark.read.schema(schemas.RAW[entity]).option("mode", "FAILFAST")
-    found = [reader.option("multiLine", True).json(arrays)] if arrays else []
-    if others:
-        found.append(reader.option("multiLine", False).json(others))
-    if not found:
-        return spark.createDataFrame([], schemas.RAW[entity])
-    return reduce(DataFrame.unionByName, found)
-
-
-def load_sessions(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    schema = schemas.RAW[entity]
+    if layout == "lines":
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(paths)
+    if layout != "objects":
+        raise ValueError(f"layout is lines or objects, not {layout}")
+    parsed = F.from_json("record", schema, {"mode": "FAILFAST"})
+    return read_records(spark, paths).select(parsed.alias("r")).select("r.*")
+
+
+def load_sessions(
+    spark: SparkSession, paths: str | Sequence[str], layout: str = "objects"
+) -> DataFrame:
     """All session chunk files (a glob, a directory or a list) as one table."""
-    return read_entity(spark, "sessions", paths)
+    return read_entity(spark, "sessions", paths, layout)
 
 
 def read_optional(spark: SparkSession, path: str) -> DataFrame | None:
