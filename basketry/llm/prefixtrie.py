@@ -361,7 +361,7 @@ def prefix_trie(
             .withColumn("path", F.concat("path", own))
             .select("rep", "n", "turns", *key, "until", "path")
         )
-    return _nodes(_union(heads), _union(lone), _union(ready), kept, ends)
+    return _nodes(checkpointed(_union(heads)), _union(lone), _union(ready), kept, ends)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
