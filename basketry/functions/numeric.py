@@ -34,12 +34,22 @@ def total(amount: Column) -> Column:
 
     Null amounts do not count; without any other the sum is null.
     """
+    whole, parts = parts_of(amount)
+    return total_of(F.sum(whole), F.sum(parts))
+
+
+def parts_of(amount: Column) -> tuple[Column, Column]:
+    """One dollar amount as whole dollars and millionths, two bigints."""
     value = _checked(amount, LARGEST)
     whole = F.floor(value)
     parts = F.rint((value - whole.cast("double")) * F.lit(float(MILLIONTHS))).cast("bigint")
-    # The two sums are apart until the end, where the one row of a group is combined.
+    return whole, parts
+
+
+def total_of(whole: Column, parts: Column) -> Column:
+    """Sums of whole dollars and of millionths, apart until here, as one in cents."""
     wide = "decimal(20,0)"
-    in_cents = F.sum(whole).cast(wide) * F.lit(100) + F.sum(parts).cast(wide) / F.lit(10_000)
+    in_cents = whole.cast(wide) * F.lit(100) + parts.cast(wide) / F.lit(10_000)
     return in_cents.cast("decimal(30,4)")
 
 

@@ -239,15 +239,19 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
-def upsert_latest(df: DataFrame, key: str, seq: str) -> DataFrame:
+def upsert_latest(
+    df: DataFrame, key: str, seq: str, constant: Sequence[str] = ()
+) -> DataFrame:
     """One row per key after writing all rows in ``seq`` order: each cell holds its last
-    non-null value.  ``seq`` must not repeat within a key."""
-    cells = [name for name in df.columns if name not in (key, seq)]
+    non-null value.  ``seq`` must not repeat within a key.  ``constant`` names columns that
+    follow from the key."""
+    cells = [name for name in df.columns if name not in (key, seq, *constant)]
     latest = [
         F.max_by(F.col(name), F.when(F.col(name).isNotNull(), F.col(seq))).alias(name)
         for name in cells
     ]
-    return df.groupBy(key).agg(*latest, F.max(seq).alias(seq)).select(df.columns)
+    found = df.groupBy(key, *constant).agg(*latest, F.max(seq).alias(seq))
+    return found.select(df.columns)
 
 
 def filter_by_value_limit(

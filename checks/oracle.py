@@ -450,6 +450,17 @@ SELECTS: dict[str, str] = {
 }
 
 
+# Tables that were changed batch by batch hold what one computation gives.
+SAME = {
+    "clean_transactions_from_json": "clean_transactions",
+    "merged_session_rows": "user_session_rows",
+    "ledger_monthly_spend": "user_monthly_spend",
+    "ledger_ltv_segments": "ltv_segments",
+    "ledger_clv_features": "clv_features",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     ctes = ",\n".join(f"{name} AS ({body})" for name, body in CTES.items())
-    return {name: f"WITH {ctes}\n{body}" for name, body in SELECTS.items()}
+    selects = SELECTS | {name: SELECTS[as_in] for name, as_in in SAME.items()}
+    return {name: f"WITH {ctes}\n{body}" for name, body in selects.items()}

@@ -11,16 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.operators import baskets, clean, customers, keyed, revenue, summary
+from basketry.operators import baskets, clean, customers, keyed, ledger, revenue, summary
 from basketry.operators import sessions as funnels
 from basketry.plans.profile import customer_profile
 from basketry.session import prepare
+from basketry.sources import files
+from basketry.sources.merge import KeyedTable
+from basketry.sources.shared import new_folder, stored
 from basketry.sources.star import OPERATING_SYSTEMS, StarSchema
 
 MID_SPEND, HIGH_SPEND = 500_000.0, 1_000_000.0
 AS_OF = "2002-01-01"
 RANGE = ("20240105", "20240120")
 STATUS_LIMIT = 100
+#: Days that reach a stored table one after the other, as batches.
+BATCHES = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -291,6 +296,84 @@ def row_counts(e: Entities) -> DataFrame:
     )
 
 
+def _last_days(df: DataFrame, day: Column) -> list:
+    """The last days of a table, in order."""
+    found = df.select(day.alias("day")).filter("day is not null").distinct()
+    return [row["day"] for row in found.orderBy(F.desc("day")).limit(BATCHES).collect()][::-1]
+
+
+def clean_transactions_from_json(e: Entities) -> DataFrame:
+    """Transactions written as objects on one long line a file, read back in blocks and cleaned."""
+    raw = e.raw_transactions().drop("n_lines")
+    path = new_folder(e.spark, "transactions-json")
+    raw.select(F.to_json(F.struct("*"))).write.option("lineSep", " ").text(path)
+    read = stored(files.read_entity(e.spark, "transactions", path), "transactions")
+    return clean.clean_transactions(read).select(
+        F.col("transaction_id").cast("bigint").alias("transaction_id"), "session_id",
+        F.col("user_id").cast("bigint").alias("user_id"), _time_text("timestamp"), "subtotal",
+        "discount", "total", "status", "is_suspicious", _date_text("date"), "year_month",
+    )
+
+
+def merged_session_rows(e: Entities) -> DataFrame:
+    """The session table without its last days, into which these, and carts that were written
+    late, are merged day by day."""
+    rows = stored(
+        keyed.user_session_rows(e.sessions(with_cart=True), seq=["end_time", "session_id"])
+        .withColumn("day", F.left("meta.start_time", F.lit(10)))
+        .withColumn("late", F.pmod(F.xxhash64("row_key"), F.lit(10 * BATCHES))),
+        "session-rows",
+    )
+    days = _last_days(rows, F.col("day"))
+    if not days:
+        return _flat_session_rows(rows)
+    cells = ["row_key", "user_id", "meta", "geo", "cart"]
+    written = lambda df, n: df.select(*cells, F.lit(n).alias("written"))
+    old = rows.filter(F.col("day") < days[0])
+    no = lambda df, name: df.withColumn(name, F.lit(None).cast(df.schema[name].dataType))
+    late = F.col("late") < BATCHES
+    table = KeyedTable(e.spark, new_folder(e.spark, "keyed-sessions"))
+    table.create(written(old.filter(~late).unionByName(no(old.filter(late), "cart")), 0))
+    for n, day in enumerate(days):
+        carts = no(no(old.filter(F.col("late") == n), "meta"), "geo")
+        table.merge(written(rows.filter(F.col("day") == day).unionByName(carts), n + 1))
+    return _flat_session_rows(table.read())
+
+
+def _kept_ledger(e: Entities) -> DataFrame:
+    """Partial sums of all orders but the last days, every fifth with a status that was wrong at first,
+    to which the days and the corrections are applied day by day."""
+    names = ["transaction_id", "user_id", "timestamp", "date", "year_month", "status", "total", "discount"]
+    orders = stored(e.transactions().select(names), "orders")
+    days = _last_days(orders, F.col("date"))
+    number = F.col("transaction_id")
+    wrong = F.when(F.col("status") == "completed", "processing").otherwise("completed")
+    at_first = F.when(number % 5 == 0, wrong).otherwise(F.col("status"))
+    recent = F.col("date").isin(days)
+    old = orders.filter(~recent | F.col("date").isNull())
+    kept = ledger.Ledger(e.spark, new_folder(e.spark, "ledger"))
+    kept.create(old.withColumn("status", at_first))
+    for n, day in enumerate(days):
+        due = old.filter((number % 5 == 0) & (F.floor(number / 5) % len(days) == n))
+        new = orders.filter(F.col("date") == day)
+        kept.apply(due.withColumn("status", at_first), due.unionByName(new), n + 1)
+    return kept.rows()
+
+
+def ledger_monthly_spend(e: Entities) -> DataFrame:
+    return ledger.user_monthly_spend(_kept_ledger(e))
+
+
+def ledger_ltv_segments(e: Entities) -> DataFrame:
+    return ledger.ltv_segments(_kept_ledger(e), MID_SPEND, HIGH_SPEND)
+
+
+def ledger_clv_features(e: Entities) -> DataFrame:
+    times = ("first_purchase", "last_purchase")
+    features = ledger.clv_features(_kept_ledger(e))
+    return features.withColumns({name: _time_text(name) for name in times})
+
+
 OPERATORS = (
     clean_transactions,
     clean_users,
@@ -335,6 +418,11 @@ OPERATORS = (
     referrer_conversion,
     user_monthly_spend,
     product_purchase_counts,
+    clean_transactions_from_json,
+    merged_session_rows,
+    ledger_monthly_spend,
+    ledger_ltv_segments,
+    ledger_clv_features,
 )
 
 
