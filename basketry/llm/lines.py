@@ -25,7 +25,7 @@ def _has_word(line: Column) -> Column:
 
 
 def boilerplate_lines(
-    docs: DataFrame, host: str, text: str, max_ratio: float, min_pages: int
+    docs: DataFrame, host: str, text: str, max_ratio: float, min_times: int
 ) -> DataFrame:
     """``host`` and its array ``drop`` of line keys; it has at most (mean lines of a page) / ratio."""
     pages = (
@@ -46,11 +46,11 @@ def boilerplate_lines(
         pages.select("host", F.explode("lines").alias("line"))
         .groupBy("host", "line.a", "line.b")
         .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > max_ratio * min_pages)
+        .filter(F.col("n") >= min_times)
     )
     return (
         counts.join(totals, "host")
-        .filter((F.col("pages") >= min_pages) & (F.col("n") > max_ratio * F.col("pages")))
+        .filter(F.col("n") > max_ratio * F.col("pages"))
         .groupBy("host")
         .agg(F.collect_list(F.struct("a", "b")).alias("drop"))
     )
@@ -61,18 +61,19 @@ def line_dedup(
     host: str = "source",
     text: str = "text",
     max_ratio: float = 0.1,
-    min_pages: int = 20,
+    min_times: int = 3,
 ) -> DataFrame:
     """``docs`` with boilerplate lines cut from ``text``, and ``n_lines`` and ``n_removed``.
 
-    A line goes if more than ``max_ratio`` of its host's pages contain it and the host has at
-    least ``min_pages`` pages.  Lines without a word are kept as they are, and the others keep
-    their order.  No row is dropped: a text of boilerplate alone becomes empty, a null text stays
-    null with no lines.  Rows with a null host are left as they are.  Repeated rows are all
+    A line goes if more than ``max_ratio`` of its host's pages contain it, and ``min_times`` of them
+    at least: on a host of few pages one page, or a pair, is a large part of them.  Lines without
+    a word are kept as they are, and the others keep their order.  No row is dropped: a text of
+    boilerplate alone becomes empty, a null text stays null with no lines.  Rows with a null host
+    are left as they are.  Repeated rows are all
     returned.  Columns named ``n_lines`` or ``n_removed`` are replaced; others come back unchanged.
     """
     docs = docs.drop("n_lines", "n_removed")
-    found = checkpointed(boilerplate_lines(docs, host, text, max_ratio, min_pages))
+    found = checkpointed(boilerplate_lines(docs, host, text, max_ratio, min_times))
     size = found.agg(F.sum(F.size("drop"))).first()[0] or 0
     drop, of = free_name(docs, "drop"), free_name(docs, "host_of")
     found = found.select(F.col("host").alias(of), F.col("drop").alias(drop))

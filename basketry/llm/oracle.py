@@ -136,7 +136,7 @@ def chat_windows(budget: Budget = Budget()) -> str:
     group by o.conv_id"""
 
 
-def line_dedup(max_ratio: float = 0.1, min_pages: int = 20) -> str:
+def line_dedup(max_ratio: float = 0.1, min_times: int = 3) -> str:
     return f"""
     with read as (
         select row_number() over () as id, doc_id, source, text, string_split(text, chr(10)) as parts
@@ -152,7 +152,7 @@ def line_dedup(max_ratio: float = 0.1, min_pages: int = 20) -> str:
     ), dropped as (
         select c.source, list(c.line) as lines
         from counts c join totals t using (source)
-        where t.pages >= {min_pages} and c.n > {max_ratio}::double * t.pages group by c.source
+        where c.n >= {min_times} and c.n > {max_ratio}::double * t.pages group by c.source
     )
     select doc_id, coalesce(len(parts), 0)::bigint as n_lines,
            coalesce(len(parts) - len(kept), 0)::bigint as n_removed,

@@ -29,7 +29,7 @@ def _sharded(df):
 
 ROW_FOR_ROW = {
     "quality": quality.quality_rules,
-    "lines": lambda df: lines.line_dedup(df, min_pages=2, max_ratio=0.4),
+    "lines": lambda df: lines.line_dedup(df, min_times=2, max_ratio=0.4),
     "simhash": simhash.simhash_groups,
     "decontaminate": lambda df: decontaminate.decontaminate(df, _benchmark(df)),
     "tokens": lambda df: tokens.token_counts(df, WORDS),

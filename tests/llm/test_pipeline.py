@@ -44,7 +44,7 @@ def test_quality_drops_what_fails(steps):
 
 def test_boilerplate_lines_go(steps):
     given, _, rows = steps[1]
-    wanted = test_lines.brute([(r["doc_id"], r["source"], r["text"]) for r in given], 0.1, 20)
+    wanted = test_lines.brute([(r["doc_id"], r["source"], r["text"]) for r in given], 0.1, 3)
     assert texts(rows) == wanted
 
 
