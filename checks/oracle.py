@@ -424,6 +424,10 @@ SELECTS: dict[str, str] = {
     "product_performance_range": f"""
         SELECT *, {big("sum(views) OVER (PARTITION BY product_id)")} AS total_views
         FROM view_day WHERE day >= '{RANGE[0]}' AND day < '{RANGE[1]}'""",
+    "product_reach_range": f"""
+        SELECT product_id, count(DISTINCT user_id) AS unique_users FROM page
+        WHERE page_type = 'product_detail' AND strftime(ts, '%Y%m%d') >= '{RANGE[0]}'
+              AND strftime(ts, '%Y%m%d') < '{RANGE[1]}' GROUP BY product_id""",
     "product_sales_daily": "SELECT * FROM sale_day",
     "cart_adds_daily": "SELECT * FROM cart_day",
     "product_performance_table": """
@@ -450,8 +454,9 @@ SELECTS: dict[str, str] = {
 }
 
 
-# Tables that were changed batch by batch hold what one computation gives.
+# Queries with the result of another, reached from sketches or batch by batch.
 SAME = {
+    "product_reach_sketched": "product_reach_range",
     "clean_transactions_from_json": "clean_transactions",
     "merged_session_rows": "user_session_rows",
     "ledger_monthly_spend": "user_monthly_spend",

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.operators import baskets, clean, customers, keyed, ledger, revenue, summary
+from basketry.operators import baskets, clean, customers, keyed, ledger, reach, revenue, summary
 from basketry.operators import sessions as funnels
 from basketry.plans.profile import customer_profile
 from basketry.session import prepare
@@ -296,6 +296,16 @@ def row_counts(e: Entities) -> DataFrame:
     )
 
 
+def product_reach_range(e: Entities) -> DataFrame:
+    """Distinct users in a range of days, from rows that can be added."""
+    return reach.reach_in_range(reach.visitor_gaps(reach.daily_visitors(e.page_views())), *RANGE)
+
+
+def product_reach_sketched(e: Entities) -> DataFrame:
+    """The same from daily sketches; no product here has more users than they hold exactly."""
+    return reach.sketched_reach(reach.daily_sketches(reach.daily_visitors(e.page_views())), *RANGE)
+
+
 def _last_days(df: DataFrame, day: Column) -> list:
     """The last days of a table, in order."""
     found = df.select(day.alias("day")).filter("day is not null").distinct()
@@ -418,6 +428,8 @@ OPERATORS = (
     referrer_conversion,
     user_monthly_spend,
     product_purchase_counts,
+    product_reach_range,
+    product_reach_sketched,
     clean_transactions_from_json,
     merged_session_rows,
     ledger_monthly_spend,
