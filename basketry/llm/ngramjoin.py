@@ -12,7 +12,8 @@ may qualify without moving whole sets.  Then the qualifying ones meet the whole
 
 Documents of equal sets are one set.  Groups by the least hashes of a set, with a common
 head, link most of a family before the join; after that only pairs of different components
-are asked for, so a family of thousands of near copies costs no square.
+are asked for, so a family of thousands of near copies costs no square.  What is left of a
+family is grouped by the commonest token of its prefixes.
 """
 
 from __future__ import annotations
@@ -262,10 +263,11 @@ def _family_links(sets: DataFrame, full: DataFrame, percent: int, group: int) ->
 
 def _grouped(sets: DataFrame, group: int, large: int) -> DataFrame:
     """Each set with its group's number ``g``.  Large components are divided among groups of their own,
-    whose numbers come last; other sets are grouped by their least hash."""
+    whose numbers come last.  Other sets are grouped by the commonest token of their prefix, which
+    near copies that are not linked mostly share as well."""
     comps = sets.groupBy("comp").agg(F.count(F.lit(1)).alias("comp_sets"))
     sets = sets.join(comps, "comp").withColumn("own", F.col("comp_sets") >= large)
-    sets = sets.withColumn("family", F.when(F.col("own"), F.col("comp")).otherwise(F.col("least")[0]))
+    sets = sets.withColumn("family", F.when(F.col("own"), F.col("comp")).otherwise(F.element_at("prefix", -1)))
     key = ["own", "family"]
     sizes = sets.groupBy(*key).agg(F.count(F.lit(1)).alias("held"), F.sum("n").alias("total"))
     sizes = sizes.select(
