@@ -59,7 +59,7 @@ def copurchase_pairs(
         .limit(top_n)
     )
     purchases = bought.groupBy("product_id").agg(F.sum("times").alias("purchase_count"))
-    return _described(pairs, purchases, products, digits)
+    return described_pairs(pairs, purchases, products, digits)
 
 
 def candidate_lines(
@@ -103,7 +103,7 @@ def listed_pairs(basket: DataFrame) -> DataFrame:
     )
 
 
-def _described(
+def described_pairs(
     pairs: DataFrame, counts: DataFrame, products: DataFrame, digits: int | None
 ) -> DataFrame:
     """The chosen pairs with names and similarity."""

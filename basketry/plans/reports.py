@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.operators import baskets, clean, customers, keyed, revenue, summary
+from basketry.operators import clean, customers, keyed, pairs, revenue, summary
 from basketry.operators import sessions as funnels
 from basketry.plans.profile import customer_profile
 from basketry.session import prepare
@@ -96,7 +96,7 @@ def reports(t: dict[str, DataFrame]) -> dict[str, Callable[[], DataFrame]]:
         "device_os_matrix": lambda: funnels.device_os_matrix(t["transactions"], t["sessions"]),
         "ltv_segments": lambda: customers.ltv_segments(t["transactions"]),
         "cohort_analysis": lambda: customers.cohort_revenue(t["users"], t["transactions"]),
-        "copurchase_pairs": lambda: baskets.copurchase_pairs(t["lines"], t["products"]),
+        "copurchase_pairs": lambda: pairs.copurchase_pairs(t["lines"], t["products"]),
         "product_popularity": lambda: revenue.product_popularity(t["lines"], t["products"]),
         "revenue_by_category": lambda: revenue.revenue_by_category(t["lines"], t["products"]),
         "category_revenue": lambda: revenue.category_revenue_allocated(t["lines"], categorised),

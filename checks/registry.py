@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.operators import baskets, clean, customers, keyed, ledger, reach, revenue, summary
+from basketry.operators import (
+    baskets, clean, customers, keyed, ledger, pairs, reach, revenue, summary,
+)
 from basketry.operators import sessions as funnels
 from basketry.plans.profile import customer_profile
 from basketry.session import prepare
@@ -114,7 +116,7 @@ def ltv_segments(e: Entities) -> DataFrame:
 
 
 def copurchase_pairs(e: Entities) -> DataFrame:
-    return baskets.copurchase_pairs(e.lines(), e.raw_products())
+    return pairs.copurchase_pairs(e.lines(), e.raw_products())
 
 
 def product_purchase_counts(e: Entities) -> DataFrame:
