@@ -267,3 +267,63 @@ def prefix_trie() -> str:
            s.saved::bigint as saved_tokens, coalesce(e.ends, sha256('')) as ends_sha256
     from nodes n join sums s using (path) left join children c using (path) left join ends e using (path)
     left join nodes p on n.path <> '' and p.path = left(n.path, length(n.path) - 64)"""
+
+
+def substring_dedup(window: int = 20) -> str:
+    spots = f"range(1, len(ws) - {window - 2})"
+    return f"""
+    with read as (
+        select row_number() over () as id, doc_id, {_words("text")} as ws from documents
+    ), windows as (
+        select id, doc_id, unnest(list_transform({spots},
+               lambda i: md5(array_to_string(ws[i:i + {window - 1}], ' ')))) as win, unnest({spots}) as pos
+        from read where len(ws) >= {window}
+    ), firsts as (
+        select win, min({{'d': doc_id, 'p': pos}}) as first from windows group by win having count(*) > 1
+    ), again as (
+        select id, pos from windows join firsts using (win)
+        where first < {{'d': doc_id, 'p': pos}}
+    ), gone as (
+        select distinct id, unnest(range(pos, pos + {window})) as pos from again
+    ), each as (
+        select id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as pos from read
+    ), kept as (
+        select id, count(*) as n, string_agg(word, ' ' order by pos) as words
+        from each anti join gone using (id, pos) group by id
+    )
+    select doc_id, len(ws)::bigint as n_words, len(ws) - coalesce(n, 0) as n_removed,
+           sha256(coalesce(words, '')) as kept_sha256
+    from read left join kept using (id)"""
+
+
+def decontamination(window: int = 10) -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    lowered = f"translate(coalesce(text, ''), '{upper}', '{upper.lower()}')"
+    found = rf"regexp_extract_all({lowered}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""
+    with items as (
+        select item_id::varchar as item, {found} as ws from benchmark
+    ), phrases as (
+        select distinct item, least(len(ws), {window}) as n,
+               unnest(list_transform(range(1, greatest(1, len(ws) - {window - 1}) + 1),
+                      lambda i: array_to_string(ws[i:i + {window - 1}], ' '))) as phrase
+        from items where len(ws) > 0
+    ), read as (
+        select row_number() over () as id, doc_id, {found} as ws from documents
+    ), spots as (
+        select id, n, unnest(list_transform(range(1, len(ws) - n + 2),
+               lambda i: array_to_string(ws[i:i + n - 1], ' '))) as phrase,
+               unnest(range(1, len(ws) - n + 2)) as pos
+        from read, (select distinct n from phrases) where len(ws) >= n
+    ), met as (
+        select id, pos, s.n, item from spots s join phrases p on s.phrase = p.phrase and s.n = p.n
+    ), hits as (
+        select id, count(distinct place) as n_hit
+        from (select id, unnest(range(pos, pos + n)) as place from met) group by id
+    ), named as (
+        select id, count(*) as n, string_agg(item, ',' order by item) as items
+        from (select distinct id, item from met) group by id
+    )
+    select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n, 0) as n_items,
+           sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+    from read left join hits using (id) left join named using (id)"""

@@ -192,6 +192,8 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_rules": oracle.quality_rules(),
         "op2_budgeted_windows": oracle.chat_windows(),
+        "op3_substring_dedup": oracle.substring_dedup(),
+        "op4_decontamination": oracle.decontamination(),
         "op9_line_dedup": oracle.line_dedup(),
         "op11_hard_negatives": oracle.hard_negatives(),
         "op12_ngram_join": oracle.ngram_join(),
