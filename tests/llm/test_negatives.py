@@ -9,7 +9,7 @@ from basketry.llm.negatives import (
 )
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
-ASKS = F.col("ident") % 10 == 0
+ASKS = "ident % 10 = 0"
 
 
 def brute(rows, asks, positives=5, negatives=5):
@@ -40,7 +40,7 @@ def brute(rows, asks, positives=5, negatives=5):
 
 def mined(spark, rows, **sizes):
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    return sorted(map(tuple, hard_negatives(df, ASKS, **sizes).collect()), key=str)
+    return sorted(map(tuple, hard_negatives(df, F.expr(ASKS), **sizes).collect()), key=str)
 
 
 def near_rows(pick, n, copies=0):
@@ -82,7 +82,7 @@ def test_other_columns_do_not_clash(spark):
     rows = near_rows(random.Random(2), 40)
     df = spark.createDataFrame(rows, SCHEMA)
     more = df.withColumns({c: F.lit(7) for c in "ident vec mark anchor panel bucket held lo hi w score".split()})
-    found = sorted(map(tuple, hard_negatives(more, ASKS).collect()), key=str)
+    found = sorted(map(tuple, hard_negatives(more, F.expr(ASKS)).collect()), key=str)
     assert found == brute(rows, lambda i: i % 10 == 0)
 
 

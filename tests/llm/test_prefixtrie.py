@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.prefixtrie import conversation_trie, ends_hashes, sweep
 
-HEAD = F.crc32(F.col("conv").cast("string")) % 4
-BASE = F.col("conv") - F.col("conv") % 20
+HEAD, BASE = "crc32(cast(conv AS string)) % 4", "conv - conv % 20"
 SCHEMA = "conv_id long, turn long, role string, text string"
 
 
@@ -50,7 +49,7 @@ def brute(rows):
 
 def nodes(spark, rows, **sizes):
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    return sorted(map(tuple, conversation_trie(df, HEAD, BASE, **sizes).collect()), key=str)
+    return sorted(map(tuple, conversation_trie(df, F.expr(HEAD), F.expr(BASE), **sizes).collect()), key=str)
 
 
 def odd_rows():
@@ -92,7 +91,7 @@ def test_other_columns_do_not_clash(spark):
     rows = odd_rows()
     df = spark.createDataFrame(rows, SCHEMA)
     more = df.withColumns({c: F.lit("z") for c in "conv seq a b words block rep top depth path h n".split()})
-    assert sorted(map(tuple, conversation_trie(more, HEAD, BASE).collect()), key=str) == brute(rows)
+    assert sorted(map(tuple, conversation_trie(more, F.expr(HEAD), F.expr(BASE)).collect()), key=str) == brute(rows)
 
 
 def test_ends_are_joined_in_numeric_order_over_ranges(spark):
