@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from basketry.sources.shared import shared_folder
+
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
@@ -19,14 +19,14 @@ def words(text: Column) -> Column:
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the cluster's shared checkpoint folder.
 
-    The folder is the session's ``spark.checkpoint.dir``.  Only where none is set, as in
-    tests on one machine, a temporary folder is used.  The shuffle files that led to it are
+    The folder is the session's ``spark.checkpoint.dir``.  Only where none is set and all run on
+    one machine, as in tests, a temporary folder is used; on a cluster that raises.  The shuffle files that led to it are
     no longer needed then and are removed at once, not when the driver's garbage is.
     """
     session = df.sparkSession
     context = session.sparkContext
     if not context.getConf().get("spark.checkpoint.dir") and not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+        context.setCheckpointDir(shared_folder(session))
     before = session.conf.get(CLEANUP)
     session.conf.set(CLEANUP, "true")
     try:

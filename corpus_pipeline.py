@@ -8,8 +8,6 @@ next stage, so a lost executor costs one stage's tasks at most.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -22,6 +20,7 @@ from basketry.llm.lines import line_dedup
 from basketry.llm.packing import best_fit_packing
 from basketry.llm.quality import quality_rules
 from basketry.llm.simhash import simhash_groups
+from basketry.sources.shared import new_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 CAPACITY = 2048
@@ -84,14 +83,9 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL = None
 
 
-def _folder(spark: SparkSession) -> str:
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{shared or tempfile.mkdtemp(prefix='pipeline-')}/pipeline-{uuid.uuid4().hex}"
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other, from the ``documents`` in ``sf_dir``."""
-    folder = _folder(spark)
+    folder = new_folder(spark, "pipeline")
     docs = read_table(spark, sf_dir, "documents").select(COLUMNS)
     for number, (_, stage) in enumerate(STAGES, 1):
         path = f"{folder}/{number}"
