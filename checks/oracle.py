@@ -428,6 +428,11 @@ SELECTS: dict[str, str] = {
         SELECT product_id, count(DISTINCT user_id) AS unique_users FROM page
         WHERE page_type = 'product_detail' AND strftime(ts, '%Y%m%d') >= '{RANGE[0]}'
               AND strftime(ts, '%Y%m%d') < '{RANGE[1]}' GROUP BY product_id""",
+    "order_value_bands": f"""
+        SELECT CAST(year(day) AS INTEGER) AS year, {usd("quantile_disc(total_cents, 0.25)")} AS low,
+               {usd("quantile_disc(total_cents, 0.5)")} AS median,
+               {usd("quantile_disc(total_cents, 0.75)")} AS high, count(*) AS orders
+        FROM txn WHERE status = 'completed' GROUP BY 1""",
     "product_sales_daily": "SELECT * FROM sale_day",
     "cart_adds_daily": "SELECT * FROM cart_day",
     "product_performance_table": """

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.operators import (
-    baskets, clean, customers, keyed, ledger, pairs, reach, revenue, summary,
+    baskets, clean, customers, keyed, ledger, pairs, reach, revenue, sketches, summary,
 )
 from basketry.operators import sessions as funnels
 from basketry.plans.profile import customer_profile
@@ -308,6 +308,15 @@ def product_reach_sketched(e: Entities) -> DataFrame:
     return reach.sketched_reach(reach.daily_sketches(reach.daily_visitors(e.page_views())), *RANGE)
 
 
+def order_value_bands(e: Entities) -> DataFrame:
+    """Quartiles of completed orders per year, from daily sketches; no year here passes what they
+    hold exactly."""
+    daily = sketches.daily_value_sketches(e.transactions())
+    year = F.year("date").alias("year")
+    bands = sketches.merged_quantiles(daily, (0.25, 0.5, 0.75), [year])
+    return bands.withColumnsRenamed({"q0": "low", "q1": "median", "q2": "high", "n": "orders"})
+
+
 def _last_days(df: DataFrame, day: Column) -> list:
     """The last days of a table, in order."""
     found = df.select(day.alias("day")).filter("day is not null").distinct()
@@ -432,6 +441,7 @@ OPERATORS = (
     product_purchase_counts,
     product_reach_range,
     product_reach_sketched,
+    order_value_bands,
     clean_transactions_from_json,
     merged_session_rows,
     ledger_monthly_spend,
