@@ -45,13 +45,10 @@ def cohort_revenue(
     )
 
 
-def ltv_segments(
-    transactions: DataFrame, mid: float = 500.0, high: float = 2000.0
-) -> DataFrame:
-    """Users by fixed spend thresholds: count, mean spend, orders, order value and days
-    between first and last purchase.  Averages are over per-user values rounded to cents."""
+def customer_totals(transactions: DataFrame) -> DataFrame:
+    """Per user completed orders, spend and mean order value in cents, and days from first to last."""
     spent = F.col("total")
-    per_user = (
+    return (
         completed(transactions)
         .groupBy("user_id")
         .agg(
@@ -61,6 +58,14 @@ def ltv_segments(
             F.datediff(F.max("date"), F.min("date")).alias("lifespan_days"),
         )
     )
+
+
+def ltv_segments(
+    transactions: DataFrame, mid: float = 500.0, high: float = 2000.0
+) -> DataFrame:
+    """Users by fixed spend thresholds: count, mean spend, orders, order value and days
+    between first and last purchase.  Averages are over per-user values rounded to cents."""
+    per_user = customer_totals(transactions)
     spend = dollars(F.col("spend_cents"))
     segment = (
         F.when(spend > high, "High Value").when(spend > mid, "Mid Value").otherwise("Low Value")

@@ -43,15 +43,9 @@ def order_lines(transactions: DataFrame) -> DataFrame:
     )
 
 
-def daily_revenue(
-    transactions: DataFrame, digits: int | None = 2, window_rows: int = 7
-) -> DataFrame:
-    """Per day with completed orders: orders, revenue, discount, and mean revenue over
-    this and the previous six day *rows* (days without orders are not counted).
-
-    The window runs on one row per day, never on transactions.
-    """
-    daily = (
+def daily_totals(transactions: DataFrame) -> DataFrame:
+    """Per day with completed orders: orders, and revenue and discount in cents."""
+    return (
         completed(transactions)
         .filter(F.col("date").isNotNull())
         .groupBy("date")
@@ -61,6 +55,17 @@ def daily_revenue(
             total(F.col("discount")).alias("discount_cents"),
         )
     )
+
+
+def daily_revenue(
+    transactions: DataFrame, digits: int | None = 2, window_rows: int = 7
+) -> DataFrame:
+    """Per day with completed orders: orders, revenue, discount, and mean revenue over
+    this and the previous six day *rows* (days without orders are not counted).
+
+    The window runs on one row per day, never on transactions.
+    """
+    daily = daily_totals(transactions)
     recent = Window.orderBy("date").rowsBetween(1 - window_rows, Window.currentRow)
     return daily.select(
         "date",

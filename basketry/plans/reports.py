@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from basketry.operators import clean, customers, keyed, pairs, revenue, summary
 from basketry.operators import sessions as funnels
 from basketry.plans.profile import customer_profile
+from basketry.plans.sqlapi import register_functions
 from basketry.session import prepare
 from basketry.sources import files
 
@@ -123,6 +124,7 @@ def run(spark: SparkSession, input_dir: str, output_dir: str, as_of: Column) ->
     """Write everything below ``output_dir``; return the names of the reports."""
     tables = write_cleaned(prepare(spark), read_inputs(spark, input_dir), output_dir, as_of)
     register_views(tables)
+    register_functions(spark, tables)
     keyed_tables = write_keyed(spark, tables, output_dir)
     rejected = {"rejected_sessions": spark.read.parquet(f"{output_dir}/rejected/sessions")}
     counted = keyed_tables | rejected

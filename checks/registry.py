@@ -16,6 +16,7 @@ from basketry.operators import (
 )
 from basketry.operators import sessions as funnels
 from basketry.plans.profile import customer_profile
+from basketry.plans.sqlapi import register_functions
 from basketry.session import prepare
 from basketry.sources import files
 from basketry.sources.merge import KeyedTable
@@ -317,6 +318,27 @@ def order_value_bands(e: Entities) -> DataFrame:
     return bands.withColumnsRenamed({"q0": "low", "q1": "median", "q2": "high", "n": "orders"})
 
 
+def _in_sql(e: Entities, query: str) -> DataFrame:
+    register_functions(e.spark, {"transactions": e.transactions(), "sessions": e.sessions()})
+    return e.spark.sql(query)
+
+
+def daily_revenue_in_sql(e: Entities) -> DataFrame:
+    return _in_sql(
+        e,
+        "SELECT CAST(date AS STRING) AS date, daily_orders, daily_revenue, rolling_avg AS rolling_7d_avg, "
+        "daily_discount FROM daily_revenue(7)",
+    )
+
+
+def ltv_segments_in_sql(e: Entities) -> DataFrame:
+    return _in_sql(e, f"SELECT * FROM ltv_segments(high => {HIGH_SPEND}D, mid => {MID_SPEND}D)")
+
+
+def funnel_by_referrer_in_sql(e: Entities) -> DataFrame:
+    return _in_sql(e, "SELECT * FROM funnel_by_referrer()")
+
+
 def _last_days(df: DataFrame, day: Column) -> list:
     """The last days of a table, in order."""
     found = df.select(day.alias("day")).filter("day is not null").distinct()
@@ -442,6 +464,9 @@ OPERATORS = (
     product_reach_range,
     product_reach_sketched,
     order_value_bands,
+    daily_revenue_in_sql,
+    ltv_segments_in_sql,
+    funnel_by_referrer_in_sql,
     clean_transactions_from_json,
     merged_session_rows,
     ledger_monthly_spend,
