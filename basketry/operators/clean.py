@@ -107,11 +107,20 @@ def enrich_products(
 
 def transaction_quality_profile(transactions: DataFrame, digits: int | None = 1) -> DataFrame:
     """One row: transactions, those outside any session (count and %), suspicious ones."""
-    counted = transactions.agg(
+    return with_percent(transactions.agg(*quality_counts()), digits)
+
+
+def quality_counts() -> list[Column]:
+    """What is counted of cleaned transactions, by a query or by the job that writes them."""
+    return [
         F.count("*").alias("total_transactions"),
         F.count_if(F.col("session_id").isNull()).alias("standalone"),
         F.count_if("is_suspicious").alias("suspicious"),
-    )
+    ]
+
+
+def with_percent(counted: DataFrame, digits: int | None = 1) -> DataFrame:
+    """The profile of one row of `quality_counts`."""
     return counted.withColumn(
         "standalone_pct", ratio(F.col("standalone") * 100, F.col("total_transactions"), digits)
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -239,6 +239,11 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
+def counted_rows(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
+    """`row_counts` of tables whose rows were counted when they were written."""
+    return spark.createDataFrame(list(counts.items()), "table_name string, row_count bigint")
+
+
 def upsert_latest(
     df: DataFrame, key: str, seq: str, constant: Sequence[str] = ()
 ) -> DataFrame:

@@ -23,6 +23,13 @@ from basketry.session import prepare
 from basketry.sources import files
 
 
+#: Cells that are searched for by value, though the tables are sorted by key.
+BLOOM = {
+    "user_sessions": ("user_id", "meta.conversion_status"),
+    "page_events": ("ev.product_id",),
+}
+
+
 def read_inputs(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     """The raw entities of a directory of JSON files."""
     single = ("users", "categories", "products", "transactions")
@@ -31,20 +38,29 @@ def read_inputs(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
 
 
 def write_cleaned(
-    spark: SparkSession, raw: dict[str, DataFrame], directory: str, as_of: Column
+    spark: SparkSession,
+    raw: dict[str, DataFrame],
+    directory: str,
+    as_of: Column,
+    counts: dict[str, dict[str, int]] | None = None,
 ) -> dict[str, DataFrame]:
     """Write the cleaned entities, the order lines and the page views; return them as read
-    back."""
+    back.  ``counts`` gets what was counted while each was written."""
+    counts = {} if counts is None else counts
 
-    def stored(name: str, df: DataFrame) -> DataFrame:
+    def stored(name: str, df: DataFrame, counted: list[Column] | None = None) -> DataFrame:
         path = f"{directory}/tables/{name}"
-        files.to_parquet(df, path)
+        counts[name] = files.to_parquet(df, path, counts=counted or [])
         return spark.read.parquet(path)
 
     categories = clean.clean_categories(raw["categories"])
     products = clean.enrich_products(clean.clean_products(raw["products"]), categories)
     tables = {
-        "transactions": stored("transactions", clean.clean_transactions(raw["transactions"])),
+        "transactions": stored(
+            "transactions",
+            clean.clean_transactions(raw["transactions"]),
+            clean.quality_counts(),
+        ),
         "users": stored("users", clean.clean_users(raw["users"], as_of)),
         "products": stored("products", products),
         "sessions": stored("sessions", clean.clean_sessions(raw["sessions"])),
@@ -57,9 +73,14 @@ def write_cleaned(
 
 
 def write_keyed(
-    spark: SparkSession, tables: dict[str, DataFrame], directory: str
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    directory: str,
+    counts: dict[str, dict[str, int]] | None = None,
 ) -> dict[str, DataFrame]:
-    """Write the keyed tables in key order; return them as read back."""
+    """Write the keyed tables in key order; return them as read back.  ``counts`` gets their rows and
+    those of the rejected sessions."""
+    counts = {} if counts is None else counts
     daily = keyed.product_performance_table(
         keyed.product_performance_daily(tables["views"]),
         keyed.cart_adds_daily(tables["sessions"]),
@@ -73,8 +94,10 @@ def write_keyed(
     }
     for name, df in built.items():
         folders = ("day",) if name == "product_performance" else ()
-        files.to_keyed_parquet(df, f"{directory}/keyed/{name}", partition_by=folders)
-    files.to_parquet(keyed.rejected_sessions(sessions), f"{directory}/rejected/sessions")
+        path = f"{directory}/keyed/{name}"
+        counts[name] = files.to_keyed_parquet(df, path, partition_by=folders, bloom=BLOOM.get(name, ()))
+    rejected = keyed.rejected_sessions(sessions)
+    counts["rejected_sessions"] = files.to_parquet(rejected, f"{directory}/rejected/sessions")
     # With the schema given, a day in a folder's name stays text.
     reader = {name: spark.read.schema(df.schema) for name, df in built.items()}
     return {name: reader[name].parquet(f"{directory}/keyed/{name}") for name in built}
@@ -122,14 +145,22 @@ def register_views(tables: dict[str, DataFrame]) -> None:
 
 def run(spark: SparkSession, input_dir: str, output_dir: str, as_of: Column) -> list[str]:
     """Write everything below ``output_dir``; return the names of the reports."""
-    tables = write_cleaned(prepare(spark), read_inputs(spark, input_dir), output_dir, as_of)
+    written: dict[str, dict[str, int]] = {}
+    raw = read_inputs(prepare(spark), input_dir)
+    tables = write_cleaned(spark, raw, output_dir, as_of, written)
     register_views(tables)
     register_functions(spark, tables)
-    keyed_tables = write_keyed(spark, tables, output_dir)
-    rejected = {"rejected_sessions": spark.read.parquet(f"{output_dir}/rejected/sessions")}
-    counted = keyed_tables | rejected
+    counted: dict[str, dict[str, int]] = {}
+    write_keyed(spark, tables, output_dir, counted)
+    quality = {k: v for k, v in written["transactions"].items() if k != "rows"}
+    # Both were counted by the jobs that wrote the tables.
     known = reports(tables) | {
-        "row_counts": lambda: keyed.row_counts(counted),
+        "transaction_quality": lambda: clean.with_percent(
+            spark.createDataFrame([quality], ", ".join(f"{name} bigint" for name in quality))
+        ),
+        "row_counts": lambda: keyed.counted_rows(
+            spark, {name: found["rows"] for name, found in counted.items()}
+        ),
         "unified_profile": lambda: tables["profile"],
     }
     for name, build in known.items():

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.sources import schemas
@@ -50,9 +50,24 @@ def read_optional(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def to_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace the table at ``path``."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+def to_parquet(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    counts: Sequence[Column] = (),
+    bloom: Sequence[str] = (),
+) -> dict[str, int]:
+    """Replace the table at ``path``; the number of ``rows`` written and the aggregates ``counts`` of them.
+
+    The counts are taken by the tasks that write, so nothing is read again.  Columns in ``bloom`` get a
+    Bloom filter in every row group, for equality reads of values that are spread over the table.
+    """
+    seen = Observation()
+    writer = df.observe(seen, F.count("*").alias("rows"), *counts).write.mode("overwrite")
+    for name in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+    writer.partitionBy(*partition_by).parquet(path)
+    return seen.get
 
 
 def to_json_records(df: DataFrame, path: str) -> None:
@@ -61,15 +76,20 @@ def to_json_records(df: DataFrame, path: str) -> None:
 
 
 def to_keyed_parquet(
-    df: DataFrame, path: str, key: str = "row_key", partition_by: Sequence[str] = ()
-) -> None:
+    df: DataFrame,
+    path: str,
+    key: str = "row_key",
+    partition_by: Sequence[str] = (),
+    bloom: Sequence[str] = (),
+) -> dict[str, int]:
     """Replace the keyed table at ``path``, laid out in key order, in folders by
     ``partition_by`` where given.
 
     Range partitioning on the full key gives every file a narrow key range, so range
     scans and point lookups skip files by their Parquet statistics, and one busy user
-    or product spreads over several files instead of filling one task.
+    or product spreads over several files instead of filling one task.  Counts and ``bloom`` as in
+    `to_parquet`.
     """
     order = [*partition_by, key]
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return to_parquet(ordered, path, partition_by, bloom=bloom)
