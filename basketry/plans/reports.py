@@ -30,11 +30,17 @@ BLOOM = {
 }
 
 
-def read_inputs(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    """The raw entities of a directory of JSON files."""
+def read_inputs(
+    spark: SparkSession, directory: str, layout: str = "objects", documents: bool = False
+) -> dict[str, DataFrame]:
+    """The raw entities of a directory of JSON files, of users, products, transactions and sessions with
+    their whole documents where asked for."""
     single = ("users", "categories", "products", "transactions")
-    raw = {name: files.read_entity(spark, name, f"{directory}/{name}.json") for name in single}
-    return raw | {"sessions": files.load_sessions(spark, f"{directory}/sessions_*.json")}
+    read = lambda name, path: files.read_entity(
+        spark, name, path, layout, documents and name != "categories"
+    )
+    raw = {name: read(name, f"{directory}/{name}.json") for name in single}
+    return raw | {"sessions": read("sessions", f"{directory}/sessions_*.json")}
 
 
 def write_cleaned(
@@ -143,10 +149,17 @@ def register_views(tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def run(spark: SparkSession, input_dir: str, output_dir: str, as_of: Column) -> list[str]:
+def run(
+    spark: SparkSession,
+    input_dir: str,
+    output_dir: str,
+    as_of: Column,
+    layout: str = "objects",
+    documents: bool = False,
+) -> list[str]:
     """Write everything below ``output_dir``; return the names of the reports."""
     written: dict[str, dict[str, int]] = {}
-    raw = read_inputs(prepare(spark), input_dir)
+    raw = read_inputs(prepare(spark), input_dir, layout, documents)
     tables = write_cleaned(spark, raw, output_dir, as_of, written)
     register_views(tables)
     register_functions(spark, tables)
@@ -173,10 +186,12 @@ def main() -> None:
     parser.add_argument("input_dir")
     parser.add_argument("output_dir")
     parser.add_argument("--as-of", help="date that tenure is counted to (default: today)")
+    parser.add_argument("--layout", default="objects", choices=("objects", "lines"))
+    parser.add_argument("--documents", action="store_true", help="keep whole documents beside the columns")
     options = parser.parse_args()
     spark = SparkSession.builder.appName("commerce-reports").getOrCreate()
     as_of = F.to_date(F.lit(options.as_of)) if options.as_of else F.current_date()
-    run(spark, options.input_dir, options.output_dir, as_of)
+    run(spark, options.input_dir, options.output_dir, as_of, options.layout, options.documents)
     spark.stop()
 
 

@@ -13,7 +13,11 @@ from basketry.sources.arrays import read_records
 
 
 def read_entity(
-    spark: SparkSession, entity: str, paths: str | Sequence[str], layout: str = "objects"
+    spark: SparkSession,
+    entity: str,
+    paths: str | Sequence[str],
+    layout: str = "objects",
+    documents: bool = False,
 ) -> DataFrame:
     """JSON files of one entity, numbers and booleans as text (``schemas.RAW``).
 
@@ -22,22 +26,40 @@ def read_entity(
     lines, which is read in two scans by as many tasks as the files have blocks.  A record that is
     no JSON, or of another shape, makes the job fail: nothing is read as nulls in its place.
     Empty files have no records.
+
+    With ``documents`` each row keeps its whole record as a VARIANT in ``document``, which is stored
+    with the table, so fields that the schema does not have can be read later with `field`.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     schema = schemas.RAW[entity]
-    if layout == "lines":
-        return spark.read.schema(schema).option("mode", "FAILFAST").json(paths)
-    if layout != "objects":
+    if layout not in ("lines", "objects"):
         raise ValueError(f"layout is lines or objects, not {layout}")
-    parsed = F.from_json("record", schema, {"mode": "FAILFAST"})
-    return read_records(spark, paths).select(parsed.alias("r")).select("r.*")
+    if layout == "lines" and not documents:
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(paths)
+    if layout == "lines":
+        lines = spark.read.text(paths).select(F.col("value").alias("record"))
+        records = lines.filter(F.trim("record") != "")
+    else:
+        records = read_records(spark, paths)
+    parsed = F.from_json("record", schema, {"mode": "FAILFAST"}).alias("r")
+    whole = [F.parse_json("record").alias("document")] if documents else []
+    return records.select(parsed, *whole).select("r.*", *(["document"] if documents else []))
+
+
+def field(path: str, kind: str, document: str = "document") -> Column:
+    """The field at a path such as ``$.campaign.code`` of a kept document; null where it is absent or
+    no ``kind``."""
+    return F.try_variant_get(document, path, kind)
 
 
 def load_sessions(
-    spark: SparkSession, paths: str | Sequence[str], layout: str = "objects"
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    layout: str = "objects",
+    documents: bool = False,
 ) -> DataFrame:
     """All session chunk files (a glob, a directory or a list) as one table."""
-    return read_entity(spark, "sessions", paths, layout)
+    return read_entity(spark, "sessions", paths, layout, documents)
 
 
 def read_optional(spark: SparkSession, path: str) -> DataFrame | None:
