@@ -283,7 +283,7 @@ def _grouped(sets: DataFrame, group: int, large: int) -> DataFrame:
 
 
 def _candidates(placed: DataFrame, percent: int) -> DataFrame:
-    """``s`` and ``g``: groups whose prefixes hold as many of a query's prefix tokens as a linked
+    """``s``, its size ``n`` and ``g``: groups whose prefixes hold as many of a query's prefix tokens as a linked
     member's would.  Of two sets the one of the smaller group number asks."""
     posted = placed.select("s", "n", "k", "comp", "own", "g", F.explode("prefix").alias("t"))
     apart = (
@@ -306,17 +306,21 @@ def _candidates(placed: DataFrame, percent: int) -> DataFrame:
     )
     return (
         posted.join(matrix, meets)
-        .groupBy("s", "k", F.col("m_g").alias("g"))
+        .groupBy("s", "n", "k", F.col("m_g").alias("g"))
         .agg(F.count(F.lit(1)).alias("both"), F.min("m_k").alias("m_k"))
         .filter(F.col("both") >= F.least("k", "m_k"))
-        .select("s", "g")
+        .select("s", "n", "g")
     )
 
 
 def _opened(placed: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Edges ``u``, ``v`` between components, from each query and the groups that qualify for it."""
     asked = checkpointed(_candidates(placed, percent))
-    parts = asked.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("parts"))
+    parts = asked.groupBy("g").agg(
+        F.greatest(
+            F.ceil(F.count(F.lit(1)) / QUERIES), F.ceil(F.sum("n") / TASK_TOKENS)
+        ).alias("parts")
+    )
     size = F.sum(F.size("tokens")).alias("size")
     known = full.join(placed.select("s", "comp", "g"), "s")
     queries = (
