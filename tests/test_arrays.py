@@ -16,8 +16,8 @@ ODD = ['}', '{"a":1}', '"', '\\', '\\"', '[}{]', "é\U0001f600}", "a\\\\", "\n}"
 @pytest.fixture
 def small_blocks(spark):
     before = {name: spark.conf.get(name) for name in (SPLIT, OPEN_COST)}
-    spark.conf.set(SPLIT, "613")
-    spark.conf.set(OPEN_COST, "613")
+    spark.conf.set(SPLIT, "449")
+    spark.conf.set(OPEN_COST, "449")
     yield
     for name, value in before.items():
         spark.conf.set(name, value)
@@ -56,7 +56,7 @@ def test_a_file_of_many_blocks_equals_json_load(spark, tmp_path, small_blocks, l
     rows = odd_records(40)
     path = tmp_path / "rows.json"
     path.write_text(LAYOUTS[layout](rows), newline="")
-    assert spark.read.text(str(path)).rdd.getNumPartitions() > 6
+    assert spark.read.text(str(path)).rdd.getNumPartitions() > 5
     assert read(spark, path) == rows
 
 
