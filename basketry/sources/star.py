@@ -54,22 +54,6 @@ def _pick(names: tuple[str, ...], index: Column) -> Column:
     return F.get(F.array(*[F.lit(name) for name in names]), index % len(names))
 
 
-def _cart(lines: Column) -> Column:
-    """Cart of clicked products with number of clicks and top price; null without any."""
-
-    def entry(product: Column) -> Column:
-        own = F.filter(lines, lambda x: x["product"] == product)
-        quantity = F.aggregate(own, F.lit(0).cast("bigint"), lambda n, x: n + x["quantity"])
-        price = F.array_max(F.transform(own, lambda x: x["price"]))
-        return F.struct(
-            product.alias("key"),
-            F.struct(quantity.cast("int").alias("quantity"), price.alias("price")).alias("value"),
-        )
-
-    products = F.array_distinct(F.transform(lines, lambda x: x["product"]))
-    return F.when(F.size(lines) > 0, F.map_from_entries(F.transform(products, entry)))
-
-
 class StarSchema:
     """Lazy entities over the Parquet tables in one directory."""
 
@@ -129,6 +113,18 @@ class StarSchema:
             )
         )
 
+    def items(self) -> DataFrame:
+        """Line items by the number of their transaction."""
+        price = cents(F.col("l_extendedprice"))
+        quantity = F.col("l_quantity").cast("bigint")
+        return self.table("lineitem").select(
+            F.col("l_orderkey").alias("transaction_id"),
+            F.col("l_partkey").alias("product_id"),
+            quantity.alias("quantity"),
+            dollars(F.floor((price * 2 + quantity) / (quantity * 2))).alias("unit_price"),
+            F.col("l_extendedprice").alias("subtotal"),
+        )
+
     def order_lines(self, transactions: DataFrame, with_discount: bool = False) -> DataFrame:
         """Line items with the columns they share with their (cleaned) transaction; the
         discount and the number of lines only where asked for.
@@ -138,15 +134,7 @@ class StarSchema:
         already partitioned by order from the join that brought it in; the second key
         has them shuffled again.
         """
-        price = cents(F.col("l_extendedprice"))
-        quantity = F.col("l_quantity").cast("bigint")
-        items = self.table("lineitem").select(
-            F.col("l_orderkey").alias("transaction_id"),
-            F.col("l_partkey").alias("product_id"),
-            quantity.alias("quantity"),
-            dollars(F.floor((price * 2 + quantity) / (quantity * 2))).alias("unit_price"),
-            F.col("l_extendedprice").alias("subtotal"),
-        )
+        items = self.items()
         shared = ["transaction_id", "user_id", "timestamp", "date", "status"]
         if not with_discount:
             return items.join(transactions.select(shared), "transaction_id")
@@ -287,6 +275,32 @@ class StarSchema:
             "session_no", F.sum("begins").over(by_user)
         )
 
+    @staticmethod
+    def _by_product(slices: DataFrame) -> DataFrame:
+        """Slices with their clicks -> a row for each session and product, with the product's cart
+        entry (null for no product).
+
+        A slice's own counts go with its first line only; the rest is the same however often it
+        is repeated.  Rows are partitioned by user already, so nothing is shuffled.
+        """
+        own = [c for c in slices.columns if c not in ("lines", "purchases", "clicks")]
+        first = F.coalesce(F.col("at"), F.lit(0)) == 0
+        value = F.struct(F.sum("line.quantity").cast("int").alias("quantity"), F.max("line.price").alias("price"))
+        entry = F.struct(F.col("product").alias("key"), value.alias("value"))
+        return (
+            slices.select(*own, "purchases", "clicks", F.posexplode_outer("lines").alias("at", "line"))
+            .groupBy("user_id", "session_no", F.col("line.product").alias("product"))
+            .agg(
+                F.min("first_ts").alias("first_ts"),
+                F.max("last_ts").alias("last_ts"),
+                F.min_by("first_k", "first_event").alias("first_k"),
+                F.min("first_event").alias("first_event"),
+                F.sum(F.when(first, F.col("purchases")).otherwise(0)).alias("purchases"),
+                F.sum(F.when(first, F.col("clicks")).otherwise(0)).alias("clicks"),
+                F.when(F.col("product").isNotNull(), entry).alias("entry"),
+            )
+        )
+
     def sessions(self, with_cart: bool = False) -> DataFrame:
         """Sessions: a user's events up to the next pause of more than 12 hours."""
         first_k = F.col("k")
@@ -301,20 +315,21 @@ class StarSchema:
             .otherwise("browsed")
         )
         place = "struct<city:string, state:string, country:string, ip_address:string>"
-        lines = [F.flatten(F.collect_list("lines")).alias("lines")] if with_cart else []
-        grouped = (
-            self._slices(with_cart)
-            .groupBy("user_id", "session_no")
-            .agg(
-                F.min("first_ts").alias("start_time"),
-                F.max("last_ts").alias("end_time"),
-                F.min_by("first_k", "first_event").alias("k"),
-                F.sum("purchases").alias("purchases"),
-                F.sum("clicks").alias("clicks"),
-                *lines,
-            )
+        slices = self._slices(with_cart)
+        if with_cart:
+            slices = self._by_product(slices)
+        entries = [F.sort_array(F.collect_list("entry")).alias("entries")] if with_cart else []
+        grouped = slices.groupBy("user_id", "session_no").agg(
+            F.min("first_ts").alias("start_time"),
+            F.max("last_ts").alias("end_time"),
+            F.min_by("first_k", "first_event").alias("k"),
+            F.sum("purchases").alias("purchases"),
+            F.sum("clicks").alias("clicks"),
+            *entries,
         )
-        cart = _cart(F.col("lines")) if with_cart else F.lit(None)
+        cart = F.lit(None)
+        if with_cart:
+            cart = F.when(F.size("entries") > 0, F.map_from_entries("entries"))
         seconds = F.unix_seconds("end_time") - F.unix_seconds("start_time")
         return grouped.select(
             F.concat_ws("#", "user_id", "session_no").alias("session_id"),

@@ -1,0 +1,45 @@
+import random
+from datetime import datetime, timedelta
+
+from basketry.sources.star import StarSchema
+
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+START = datetime(2024, 1, 1)
+
+
+def test_carts_of_long_sessions_with_many_products(spark, tmp_path):
+    pick = random.Random(2)
+    # Two users' sessions of some days (an event every two hours) with thousands of products, and a
+    # session without clicks.
+    rows = [
+        (n, START + timedelta(hours=n % 60 * 2), n % 2, pick.choice(["click", "click", "view"]),
+         float(pick.randrange(50)), f'{{"k": {pick.randrange(3000)}}}')
+        for n in range(12_000)
+    ]
+    rows += [(20_000 + n, START, 9, kind, 1.0, '{"k": 5}') for n, kind in enumerate(["view", "purchase"])]
+    rows.append((20_010, START, 8, "click", 1.0, "{}"))  # a click on nothing
+    events = spark.createDataFrame(rows, EVENTS).repartition(7)
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    found = {r["user_id"]: r for r in StarSchema(spark, str(tmp_path)).sessions(with_cart=True).collect()}
+    assert sorted(found) == [0, 1, 8, 9]
+    for user in (0, 1):
+        carts = {}
+        for _, _, who, kind, value, props in rows:
+            if who == user and kind == "click":
+                n, top = carts.get(props[6:-1], (0, 0.0))
+                carts[props[6:-1]] = (n + 1, max(top, value))
+        assert {k: tuple(v) for k, v in found[user]["cart_contents"].items()} == carts
+        assert found[user]["conversion_status"] == "abandoned"
+        assert found[user]["duration_seconds"] == max(
+            (ts - START).total_seconds() for _, ts, who, *_ in rows if who == user
+        ) - min((ts - START).total_seconds() for _, ts, who, *_ in rows if who == user)
+    assert found[9]["cart_contents"] is None and found[9]["conversion_status"] == "converted"
+
+
+def test_carts_cost_no_shuffle_more(spark):
+    star = StarSchema(spark, "/root/testdata/sf0.001")
+    shuffles = [
+        star.sessions(cart)._jdf.queryExecution().executedPlan().toString().count("Exchange")
+        for cart in (False, True)
+    ]
+    assert shuffles[1] <= shuffles[0] + 1  # events by product before events by slice
