@@ -19,6 +19,11 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="shared-")
 
 
+def unique_name(name: str) -> str:
+    """A table name that nothing else uses."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing else uses."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -459,12 +459,15 @@ SELECTS: dict[str, str] = {
 }
 
 
-# Queries with the result of another, reached from sketches or batch by batch.
+# Queries with the result of another, reached from sketches, stored layouts or batch by batch.
 SAME = {
     "product_reach_sketched": "product_reach_range",
     "daily_revenue_in_sql": "daily_revenue",
     "ltv_segments_in_sql": "ltv_segments",
     "funnel_by_referrer_in_sql": "funnel_by_referrer",
+    "stored_revenue_by_category": "revenue_by_category",
+    "stored_category_revenue": "category_revenue_allocated",
+    "stored_sales_daily": "product_sales_daily",
     "clean_transactions_from_json": "clean_transactions",
     "merged_session_rows": "user_session_rows",
     "ledger_monthly_spend": "user_monthly_spend",

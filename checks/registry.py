@@ -19,8 +19,9 @@ from basketry.plans.profile import customer_profile
 from basketry.plans.sqlapi import register_functions
 from basketry.session import prepare
 from basketry.sources import files
+from basketry.sources.colocated import Colocated
 from basketry.sources.merge import KeyedTable
-from basketry.sources.shared import new_folder, stored
+from basketry.sources.shared import new_folder, stored, unique_name
 from basketry.sources.star import OPERATING_SYSTEMS, StarSchema
 
 MID_SPEND, HIGH_SPEND = 500_000.0, 1_000_000.0
@@ -339,6 +340,32 @@ def funnel_by_referrer_in_sql(e: Entities) -> DataFrame:
     return _in_sql(e, "SELECT * FROM funnel_by_referrer()")
 
 
+def _stored_lines(e: Entities, *more: str) -> DataFrame:
+    """Completed lines from orders and lines that are stored in one layout."""
+    shared = ["user_id", "timestamp", "date", "status"]
+    orders = e.transactions().select("transaction_id", *shared, "discount", "n_lines")
+    buckets = int(e.spark.conf.get("spark.sql.shuffle.partitions"))
+    name = unique_name("orders")
+    store = Colocated(e.spark, new_folder(e.spark, "orders"), name, "transaction_id", buckets)
+    store.create(orders, e.items())
+    done = F.col("status") == "completed"
+    return store.joined([*shared, *more], ["product_id", "quantity", "unit_price", "subtotal"], done)
+
+
+def stored_revenue_by_category(e: Entities) -> DataFrame:
+    return revenue.revenue_by_category(_stored_lines(e, "discount"), e.products())
+
+
+def stored_category_revenue(e: Entities) -> DataFrame:
+    return revenue.category_revenue_allocated(
+        _stored_lines(e, "discount", "n_lines"), e.products(missing=None), digits=2
+    )
+
+
+def stored_sales_daily(e: Entities) -> DataFrame:
+    return revenue.product_sales_daily(_stored_lines(e))
+
+
 def _last_days(df: DataFrame, day: Column) -> list:
     """The last days of a table, in order."""
     found = df.select(day.alias("day")).filter("day is not null").distinct()
@@ -467,6 +494,9 @@ OPERATORS = (
     daily_revenue_in_sql,
     ltv_segments_in_sql,
     funnel_by_referrer_in_sql,
+    stored_revenue_by_category,
+    stored_category_revenue,
+    stored_sales_daily,
     clean_transactions_from_json,
     merged_session_rows,
     ledger_monthly_spend,
