@@ -7,14 +7,18 @@ every leaf is one shard of the target bytes.  All nodes of a level are split at
 A weighted median is found without sorting: a row's key is its place in the dimension (31
 bits) followed by a hash that tells apart rows of one place, so a hot value can be split as
 well.  Bytes are summed per node and leading bits of the key, then again only within the
-bin that holds the median, until the bin is small against a leaf.  The driver sees one bin
-for each node; rows find their node by comparing keys with the cuts found so far.
+bin that holds the median, until the bin is small against a leaf.
+
+The tree is a table of nodes.  Node n has the children 2n + 1 and 2n + 2; a node of one shard
+has no cut, and its rows go on to the left child.  The keys and sizes of rows (some 50 bytes a
+row) are written once a level with the node they lie in.  A pass over them gets the level's
+nodes as one array, by a scalar subquery, and a row looks up its own, so a pass costs the same for
+any number of nodes.  The array takes about 100 bytes a shard.  The driver sees whether a level
+is done, no nodes.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,113 +26,112 @@ from basketry.llm.common import checkpointed, numbered
 
 PLACE_BITS, KEY_BITS, STEP_BITS = 31, 63, 21
 ROWS_PER_BUCKET = 100_000
+LAST_KEY = (1 << KEY_BITS) - 1
 
 
-@dataclass
-class _Node:
-    """A subtree of ``leaves`` shards from ``first`` on; split at ``cut`` of ``dim`` once known."""
-
-    first: int
-    leaves: int
-    dim: int = -1
-    cut: int | None = None
-    prefix: int = 0
-    known_bits: int = 0
-    below: int = 0
-    children: list[_Node] = field(default_factory=list)
+def _key(dims: int, dim: Column) -> Column:
+    """The row's key in dimension number ``dim``; null for null."""
+    key = F.lit(None).cast("long")
+    for d in range(dims):
+        key = F.when(dim == d, F.col(f"_key{d}")).otherwise(key)
+    return key
 
 
-def _key(dim: int) -> Column:
-    return F.col(f"_key{dim}")
+def _array(nodes: DataFrame, *columns: str) -> Column:
+    """Nodes without gaps in their numbers as one array in their order."""
+    listed = F.array_sort(F.collect_list(F.struct("node", *columns)))
+    return nodes.agg(listed.alias("nodes")).scalar()
 
 
-def _place(node: _Node, leaf) -> Column:
-    """An expression that walks the tree and gives ``leaf(node)`` of the node a row lies in."""
-    if not node.children:
-        return F.lit(leaf(node))
-    left, right = node.children
-    return F.when(_key(node.dim) < F.lit(node.cut), _place(left, leaf)).otherwise(
-        _place(right, leaf)
-    )
+def _descended(rows: DataFrame, nodes: Column, dims: int, start: int = 0) -> DataFrame:
+    """``rows`` with ``_node`` one level down; ``nodes`` begin with node number ``start``."""
+    here = F.get(nodes, F.col("_node") - start)
+    right = F.coalesce(_key(dims, here["dim"]) >= here["cut"], F.lit(False))
+    return rows.withColumn("_node", F.col("_node") * 2 + 1 + right.cast("int"))
 
 
-def _open(node: _Node) -> list[_Node]:
-    if node.children:
-        return [x for child in node.children for x in _open(child)]
-    return [node]
+def _measured(at: DataFrame, level: DataFrame, dims: int) -> DataFrame:
+    """``level`` with the widest dimension of each node, the byte it is to be cut at, and whether
+    that has to be searched: not for nodes of one shard, and not for nodes without bytes."""
+    shift = KEY_BITS - PLACE_BITS
+    place = lambda d: F.shiftright(f"_key{d}", shift)
+    widths = [(F.max(place(d)) - F.min(place(d))).alias(f"_w{d}") for d in range(dims)]
+    sized = at.groupBy(F.col("_node").alias("node")).agg(F.sum("_size").alias("_bytes"), *widths)
+    widest = F.lit(0)
+    top = F.array_max(F.array(*[F.col(f"_w{d}") for d in range(dims)]))
+    for d in reversed(range(dims)):
+        widest = F.when(F.col(f"_w{d}") == top, F.lit(d)).otherwise(widest)
+    many, held = F.col("leaves") > 1, F.coalesce("_bytes", F.lit(0)) > 0
+    half = F.floor(F.col("leaves") / 2).cast("int")
+    wanted = F.floor(F.col("_bytes").cast("decimal(20,0)") * half / F.col("leaves")).cast("long")
+    zero, null = F.lit(0).cast("long"), F.lit(None).cast("long")
+    return level.join(sized, "node", "left").select(
+        *level.columns,
+        F.when(many, F.when(held, widest).otherwise(F.lit(0))).alias("dim"),
+        F.when(many & ~held, zero).otherwise(null).alias("cut"),
+        F.when(held, wanted).otherwise(zero).alias("wanted"),
+        zero.alias("below"),
+        zero.alias("prefix"),
+        (many & held).alias("open"),
+    )
 
 
-def _choose_dims(rows: DataFrame, root: _Node, nodes: list[_Node], dims: int) -> dict[int, int]:
-    """Sets the widest dimension of each open node, and returns the bytes of each."""
-    at = rows.withColumn("_node", _place(root, lambda n: n.first))
-    shift = KEY_BITS - PLACE_BITS
-    widths = [
-        (F.shiftright(F.max(_key(d)), shift) - F.shiftright(F.min(_key(d)), shift)).alias(f"w{d}")
-        for d in range(dims)
-    ]
-    sized = at.groupBy("_node").agg(F.sum("_size").alias("bytes"), *widths).collect()
-    found = {row["_node"]: row for row in sized}  # one row for each open node
-    for node in nodes:
-        if node.first in found:
-            row = found[node.first]
-            node.dim = max(range(dims), key=lambda d: (row[f"w{d}"], -d))
-    return {first: row["bytes"] for first, row in found.items()}
-
-
-def _refine(rows: DataFrame, root: _Node, nodes: list[_Node], wanted: dict[int, int]) -> dict:
-    """One more step of bits for each node: its bin that holds the wanted byte."""
-    by_first = {n.first: n for n in nodes}
-    at = rows.withColumn("_node", _place(root, lambda n: n.first if n.first in by_first else -1))
-    known = nodes[0].known_bits
+def _refined(at: DataFrame, level: DataFrame, dims: int, start: int, known: int, slack: float) -> DataFrame:
+    """``level`` after one more step of bits: each open node goes on within the bin that holds the
+    wanted byte, or is cut at the border of that bin which lies nearer to it."""
     step = min(STEP_BITS, KEY_BITS - known)
-    key = F.lit(None).cast("long")
-    for n in nodes:
-        key = F.when(F.col("_node") == n.first, _key(n.dim)).otherwise(key)
-    at = at.filter(F.col("_node") >= 0).withColumn("_at", key)
+    nodes = _array(level, "dim", "wanted", "below", "prefix", "open")
+    here = F.get(nodes, F.col("_node") - start)
+    rows = at.filter(here["open"]).withColumn("_at", _key(dims, here["dim"]))
     if known:
-        prefix = F.lit(None).cast("long")
-        for n in nodes:
-            prefix = F.when(F.col("_node") == n.first, F.lit(n.prefix)).otherwise(prefix)
-        at = at.filter(F.shiftright("_at", KEY_BITS - known) == prefix)
-    bins = (
-        at.withColumn("_bin", F.shiftright("_at", KEY_BITS - known - step))
-        .groupBy("_node", "_bin")
-        .agg(F.sum("_size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
+        rows = rows.filter(F.shiftright("_at", KEY_BITS - known) == here["prefix"])
+    bins = rows.groupBy("_node", F.shiftright("_at", KEY_BITS - known - step).alias("_bin")).agg(
+        F.sum("_size").alias("_bytes"), F.count(F.lit(1)).alias("_rows")
     )
-    upto = Window.partitionBy("_node").orderBy("_bin")
-    goal = F.lit(0)
-    for n in nodes:
-        goal = F.when(F.col("_node") == n.first, F.lit(wanted[n.first] - n.below)).otherwise(goal)
+    in_order = Window.partitionBy("_node").orderBy("_bin")
     hit = (
-        bins.withColumn("_upto", F.sum("bytes").over(upto))
-        .filter(F.col("_upto") >= goal)
-        .withColumn("_rank", F.row_number().over(upto))
+        bins.withColumn("_upto", F.sum("_bytes").over(in_order) + here["below"])
+        .filter(F.col("_upto") >= here["wanted"])
+        .withColumn("_rank", F.row_number().over(in_order))
         .filter("_rank = 1")
+        .withColumnRenamed("_node", "node")
+    )
+    known += step
+    before = F.col("_upto") - F.col("_bytes")
+    after = F.col("_upto") - F.col("wanted") < F.col("wanted") - before
+    lower = F.shiftleft("_bin", KEY_BITS - known)
+    # The last bin has no border after it within the keys.
+    upper = F.when(F.col("_bin") == (1 << known) - 1, F.lit(LAST_KEY)).otherwise(
+        F.shiftleft(F.col("_bin") + 1, KEY_BITS - known)
+    )
+    cut = F.when(after, upper).otherwise(lower)
+    done = F.lit(known == KEY_BITS) | (F.col("_rows") == 1) | (F.col("_bytes") <= slack)
+    found = F.col("_bin").isNotNull()
+    return level.join(hit, "node", "left").select(
+        "node",
+        "first",
+        "leaves",
+        "dim",
+        F.when(found & done, cut).otherwise(F.col("cut")).alias("cut"),
+        "wanted",
+        F.when(found, before).otherwise(F.col("below")).alias("below"),
+        F.when(found, F.col("_bin")).otherwise(F.col("prefix")).alias("prefix"),
+        (found & ~done).alias("open"),
     )
-    return {row["_node"]: (row, step) for row in hit.collect()}  # one row for each node
-
-
-def _cut(rows: DataFrame, root: _Node, nodes: list[_Node], wanted: dict[int, int], slack: float):
-    """Finds the cuts of nodes that have rows."""
-    pending = nodes
-    while pending:
-        found = _refine(rows, root, pending, wanted)
-        rest = []
-        for n in pending:
-            row, step = found[n.first]
-            n.known_bits += step
-            n.prefix = row["_bin"]
-            upto = n.below + row["_upto"]
-            before = upto - row["bytes"]
-            last = n.known_bits == KEY_BITS
-            if last or row["rows"] == 1 or row["bytes"] <= slack:
-                # The border of the bin that lies nearer to the wanted byte.
-                after = upto - wanted[n.first] < wanted[n.first] - before
-                n.cut = (n.prefix + after) << (KEY_BITS - n.known_bits)
-            else:
-                n.below = before
-                rest.append(n)
-        pending = rest
+
+
+def _children(level: DataFrame) -> DataFrame:
+    """The nodes of the next level; a node of one shard hands it to its left child."""
+    half = F.when(F.col("leaves") > 1, F.floor(F.col("leaves") / 2)).otherwise(F.col("leaves")).cast("int")
+    left = F.struct(
+        (F.col("node") * 2 + 1).alias("node"), F.col("first").alias("first"), half.alias("leaves")
+    )
+    right = F.struct(
+        (F.col("node") * 2 + 2).alias("node"),
+        (F.col("first") + half).alias("first"),
+        (F.col("leaves") - half).alias("leaves"),
+    )
+    return level.select(F.inline(F.array(left, right)))
 
 
 def kd_tree_shards(
@@ -146,6 +149,7 @@ def kd_tree_shards(
     columns that tell rows apart: only rows that agree in all of them are kept together.  A
     median bin of at most ``slack`` times a leaf's bytes is not refined further.  Sizes must
     not be null or negative.  Fewer rows than shards leave shards empty; an empty table has none.
+    Rows are read some times a level, so they should be a stored or checkpointed table.
     Columns named ``shard`` or ``slot`` are replaced.
     """
     rows = rows.drop("shard", "slot")
@@ -155,6 +159,7 @@ def kd_tree_shards(
         *[F.min(d.cast("double")).alias(f"min{i}") for i, d in enumerate(dims)],
         *[F.max(d.cast("double")).alias(f"max{i}") for i, d in enumerate(dims)],
         F.count(F.lit(1)).alias("rows"),
+        F.sum(size).alias("bytes"),
     ).first()
     top = (1 << PLACE_BITS) - 1
     keys = []
@@ -169,22 +174,31 @@ def kd_tree_shards(
         key = F.shiftleft(place, KEY_BITS - PLACE_BITS).bitwiseOR(spread)
         keys.append(key.alias(f"_key{i}"))
     keyed = rows.select(F.struct("*").alias("_row"), F.col(size).alias("_size"), *names, *keys)
-    root = _Node(0, shards)
-    while nodes := [n for n in _open(root) if n.leaves > 1]:
-        held = _choose_dims(keyed, root, nodes, len(dims))
-        wanted = {n.first: held.get(n.first, 0) * (n.leaves // 2) // n.leaves for n in nodes}
-        total = sum(held.values())
-        some = [n for n in nodes if held.get(n.first)]
-        if some:
-            _cut(keyed, root, some, wanted, slack * total / shards)
-        for n in nodes:
-            half = n.leaves // 2
-            if n.cut is None:  # no rows
-                n.dim, n.cut = 0, 0
-            n.children = [_Node(n.first, half), _Node(n.first + half, n.leaves - half)]
-    placed = keyed.withColumn("shard", _place(root, lambda n: n.first).cast("int"))
+    near = slack * (bounds["bytes"] or 0) / shards
+    level = rows.sparkSession.range(1).select(
+        F.lit(0).alias("node"), F.lit(0).alias("first"), F.lit(shards).alias("leaves")
+    )
+    at = keyed.select("_size", *[f"_key{d}" for d in range(len(dims))], F.lit(0).alias("_node"))
+    tree, depth = None, (shards - 1).bit_length()
+    for done in range(depth):
+        start, known = (1 << done) - 1, 0
+        at = checkpointed(at)
+        level = checkpointed(_measured(at, level, len(dims)))
+        while known < KEY_BITS and not level.filter("open").isEmpty():
+            level = checkpointed(_refined(at, level, len(dims), start, known, near))
+            known += STEP_BITS
+        cuts = level.select("node", "dim", "cut")
+        tree = cuts if tree is None else checkpointed(tree.unionByName(cuts))
+        at = _descended(at, _array(cuts, "dim", "cut"), len(dims), start)
+        level = _children(level)
+    placed = keyed.withColumn("_node", F.lit(0))
+    for _ in range(depth):
+        placed = _descended(placed, _array(tree, "dim", "cut"), len(dims))
+    leaf = F.get(_array(checkpointed(level), "first"), F.col("_node") - ((1 << depth) - 1))
+    # Written, so that no filter above repeats the way down.
+    placed = checkpointed(placed.select("_row", *own, leaf["first"].alias("shard")))
     buckets = max(1, bounds["rows"] // ROWS_PER_BUCKET)
-    found = numbered(placed.select("_row", *own, "shard"), "shard", own, "slot", buckets)
+    found = numbered(placed, "shard", own, "slot", buckets)
     return found.select("_row.*", "shard", "slot")
 
 
