@@ -3,8 +3,11 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from basketry.llm.html import INSIDE, OPEN, OUTSIDE, REPEAT, _unique, main_text, parse, repeated_beginnings
+from basketry.llm.html import (
+    INSIDE, OPEN, OUTSIDE, REPEAT, _shared, _streamed, _unique, main_text, parse, repeated_beginnings,
+)
 
 PAGE = """<!DOCTYPE html><html><head><title>no</title><style>p{}</style></head><body class="has-sidebar">
 <header><h1>Site</h1></header><nav>a b</nav><div class="cookie-notice">We use cookies</div><main><article>
@@ -141,3 +144,58 @@ def test_streams_equal_brute_force(spark):
     }
     docs = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert {r["page_id"]: r["text"] for r in main_text(docs).collect()} == wanted
+
+
+def test_articles_and_what_is_around_them_are_judged_by_the_host(spark):
+    pick = np.random.default_rng(3)
+    parts = [" ".join(pick.choice(list("abcdefghij"), 9)) for _ in range(30)]
+    some = lambda n: "".join(f"<p>{pick.choice(parts)} {pick.choice(parts)}</p>" for _ in range(n))
+    rows = [
+        (i, f"http://h{i % 4}/", f"<nav>{pick.choice(parts)}</nav><article>{some(3)}</article>{some(1)}")
+        for i in range(30)
+    ] + [(90 + i, f"http://h{i % 4}/", some(3)) for i in range(8)] + [(99, "http://h1/", None)]
+    on = defaultdict(set)
+    streams = {}
+    for i, u, h in rows:
+        for inside in (False, True):
+            zones = (INSIDE,) if inside else (OPEN, OUTSIDE)
+            streams[i, inside] = words = " ".join(parse(h).texts(*zones)).split()
+            for a in range(len(words) - REPEAT + 1):
+                on[u, inside, tuple(words[a : a + REPEAT])].add(i)
+    wanted = {}
+    for i, u, h in rows:
+        page, places = parse(h), {}
+        for inside in (False, True):
+            words = streams[i, inside]
+            starts = range(len(words) - REPEAT + 1)
+            places[inside] = [a for a in starts if len(on[u, inside, tuple(words[a : a + REPEAT])]) > 1]
+        if page.texts(INSIDE):
+            under = {a + k for a in places[True] for k in range(REPEAT)}
+            wanted[i] = ("\n\n".join(page.texts(INSIDE)), len(under))
+        else:
+            under, at, kept = {a + k for a in places[False] for k in range(REPEAT)}, 0, []
+            for zone, text in page.blocks:
+                size = len(text.split())
+                n = len(under & set(range(at, at + size)))
+                at += size
+                if zone == OPEN and 2 * n < size:
+                    kept.append((text, n))
+            wanted[i] = ("\n\n".join(t for t, _ in kept), sum(n for _, n in kept))
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: (r["text"], r["n_repeated"]) for r in main_text(docs).collect()}
+    assert found == wanted
+    assert len({n for i, (_, n) in wanted.items() if i < 90}) > 2
+
+
+def test_only_segments_that_may_repeat_are_moved(spark):
+    line = " ".join(f"common{k}" for k in range(12))
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(30))
+    rows = [(i, "h" if i < 3 else "i", f"<article><p>{own(i)}</p><p>{line}</p></article>") for i in range(4)]
+    rows.append((None, "i", rows[3][2]))
+    given = spark.createDataFrame(rows, "page long, host string, html string")
+    hashed = given.withColumn("host_hash", F.xxhash64("host"))
+    shared = {r["page"]: r["keys"] for r in _shared(hashed).collect()}
+    assert set(shared) == {0, 1, 2}
+    moved = _streamed(hashed.join(_shared(hashed), "page")).collect()
+    assert {r["page"] for r in moved} == {0, 1, 2}
+    assert all(r["inside"] and r["at"] > 30 - REPEAT for r in moved)
