@@ -1,9 +1,11 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketry.operators import revenue, summary
 from basketry.operators.baskets import product_purchase_counts
+from basketry.session import SETTINGS, prepare
 from tests.build import by, dicts, frame, item, sessions, transactions, txn
 
 
@@ -152,3 +154,38 @@ def test_nested_scan_reads_one_item_field_and_pushes_the_status(spark, tmp_path)
     plan = product_purchase_counts(lines)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(status,completed)" in plan
     assert "ReadSchema: struct<items:array<struct<product_id:string>>,status:string>" in plan
+
+
+def test_sales_of_many_lines_are_summed_in_small_tasks(spark):
+    """A task's sorts and maps grow with the shuffled rows it is given, so it is given few."""
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    settings = {
+        size: "64MB", "spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    before = {name: spark.conf.get(name) for name in (*SETTINGS, *settings)}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        prepare(spark)
+        n = 1_500_000
+        orders = spark.range(n // 3).select(
+            F.col("id").alias("transaction_id"),
+            F.lit("completed").alias("status"),
+            F.date_add(F.lit("2024-01-01"), (F.col("id") % 900).cast("int")).alias("date"),
+        )
+        lines = spark.range(n).select(
+            (F.xxhash64("id") % (n // 6) + n // 6).alias("transaction_id"),
+            F.xxhash64("id", F.lit(1)).alias("product_id"),
+            F.lit(2).alias("quantity"),
+            F.pmod(F.xxhash64("id", F.lit(2)), F.lit(1_000_000)).cast("double").alias("subtotal"),
+        )
+        sales = revenue.product_sales_daily(lines.join(orders, "transaction_id"))
+        tasks = sales.rdd.getNumPartitions()
+        counted = sales.agg(F.count("*"), F.sum("units_sold"), F.sum("order_count")).first()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert tasks > 1
+    inside = lines.filter((F.col("transaction_id") >= 0) & (F.col("transaction_id") < n // 3)).count()
+    assert tuple(counted) == (inside, 2 * inside, inside)
