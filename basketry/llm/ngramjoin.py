@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from basketry.llm.batches import map_slices
+from basketry.llm.batches import map_slices, small_batches
 from basketry.llm.common import checkpointed
 from basketry.llm.graph import components
 
@@ -358,34 +358,10 @@ def _opened(placed: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     return rows.withColumn("shard", shard).groupBy("shard").applyInArrow(work, "u long, v long")
 
 
-def jaccard_groups(
-    docs: DataFrame,
-    ident: str = "doc_id",
-    text: str = "text",
-    shingle: int = 4,
-    percent: int = 85,
-    group: int = GROUP,
-    large: int = LARGE,
-) -> DataFrame:
-    """``docs`` with ``n_shingles`` and ``component_id`` in place of ``text``, which goes to Python and not back.
-
-    A document's set is that of its distinct shingles of ``shingle`` words, words being
-    ASCII-lower-cased runs without ASCII white space; a text of fewer words is one shingle.  Two
-    documents are linked if 100 times what they share is at least ``percent`` times what either has.
-    ``component_id`` is the smallest ``ident`` reachable over links, its own included; documents
-    without words are linked with nothing and have their own.  Repeated rows are linked.  A null
-    ``ident`` is never the smallest; a component of such rows alone has a null one.  Columns named
-    ``n_shingles`` or ``component_id`` are replaced, others come back.
-
-    Shingles are compared by a 64-bit hash, whole sets by 128 bits.
-    """
-    kept = [c for c in docs.columns if c not in (text, "n_shingles", "component_id")]
-    if ident not in kept:
-        raise ValueError("the identifier is among the columns that are replaced")
-    keyed = docs.select(
-        F.struct(*kept).alias("row"), F.col(ident).alias("ident"), F.xxhash64(text).alias("mark"),
-        F.col(text).alias("text"),
-    )
+def _classes(
+    keyed: DataFrame, shingle: int, percent: int, group: int, large: int
+) -> tuple[DataFrame, DataFrame]:
+    """All of ``keyed`` with the size and hash of each set, and the ``component`` of each such hash."""
     marked = checkpointed(_marked(keyed, shingle, percent))
     firsts = (
         marked.filter("n > 0")
@@ -420,6 +396,39 @@ def jaccard_groups(
     known = checkpointed(known.select("a", "b", "smallest", F.coalesce("root", "s").alias("root")))
     least = known.groupBy("root").agg(F.min("smallest").alias("component"))
     found = known.join(least, "root").select(F.col("a").alias("of_a"), F.col("b").alias("of_b"), "component")
+    return marked, found
+
+
+def jaccard_groups(
+    docs: DataFrame,
+    ident: str = "doc_id",
+    text: str = "text",
+    shingle: int = 4,
+    percent: int = 85,
+    group: int = GROUP,
+    large: int = LARGE,
+) -> DataFrame:
+    """``docs`` with ``n_shingles`` and ``component_id`` in place of ``text``, which goes to Python and not back.
+
+    A document's set is that of its distinct shingles of ``shingle`` words, words being
+    ASCII-lower-cased runs without ASCII white space; a text of fewer words is one shingle.  Two
+    documents are linked if 100 times what they share is at least ``percent`` times what either has.
+    ``component_id`` is the smallest ``ident`` reachable over links, its own included; documents
+    without words are linked with nothing and have their own.  Repeated rows are linked.  A null
+    ``ident`` is never the smallest; a component of such rows alone has a null one.  Columns named
+    ``n_shingles`` or ``component_id`` are replaced, others come back.
+
+    Shingles are compared by a 64-bit hash, whole sets by 128 bits.
+    """
+    kept = [c for c in docs.columns if c not in (text, "n_shingles", "component_id")]
+    if ident not in kept:
+        raise ValueError("the identifier is among the columns that are replaced")
+    keyed = docs.select(
+        F.struct(*kept).alias("row"), F.col(ident).alias("ident"), F.xxhash64(text).alias("mark"),
+        F.col(text).alias("text"),
+    )
+    with small_batches(docs.sparkSession):
+        marked, found = _classes(keyed, shingle, percent, group, large)
     given = marked.select("row", "ident", "n", "a", "b")
     joined = given.join(found, (F.col("a") == F.col("of_a")) & (F.col("b") == F.col("of_b")), "left")
     return joined.select(

@@ -2,9 +2,12 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from basketry.llm import ngramjoin
+from basketry.llm.batches import BATCH_BYTES, SLICE_BYTES, small_batches
 from basketry.llm.ngramjoin import _Group, jaccard_groups, tokens_of
 
 
@@ -116,3 +119,21 @@ def test_sets_of_short_texts_are_one_shingle():
     assert tokens_of("a b", 4).tolist() != tokens_of("b a", 4).tolist()
     assert len(tokens_of("a b c d e a b c d", 4)) == 5
     assert len(tokens_of(None, 4)) == len(tokens_of(" ", 4)) == 0
+
+
+def test_arrow_batches_are_small(spark, monkeypatch):
+    told, kept = [], ngramjoin.checkpointed
+    monkeypatch.setattr(ngramjoin, "checkpointed", lambda df: (told.append(spark.conf.get(BATCH_BYTES)), kept(df))[1])
+    before = spark.conf.get(BATCH_BYTES)
+    rows = families(random.Random(8), 30)
+    assert grouped(spark, rows) == brute(rows)
+    assert set(told) == {str(SLICE_BYTES)} and spark.conf.get(BATCH_BYTES) == before
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": pa.array([batch.nbytes], pa.int64())})
+
+    texts = spark.range(64, numPartitions=1).select(F.repeat(F.lit("word and "), 30_000).alias("text"))
+    with small_batches(spark):
+        found = [r["bytes"] for r in texts.mapInArrow(sizes, "bytes long").collect()]
+    assert sum(found) > 4 * SLICE_BYTES and max(found) < 2 * SLICE_BYTES
