@@ -2,6 +2,8 @@ import random
 
 import pytest
 
+from basketry.llm.batches import BATCH_BYTES, SLICE_BYTES
+from basketry.llm.common import Workspace
 from basketry.llm.substrings import WINDOW, substring_dedup
 
 
@@ -48,3 +50,37 @@ def test_a_null_id_is_before_all_others(spark):
     text = " ".join(f"w{i}" for i in range(30))
     found = substring_dedup(spark.createDataFrame([(1, text), (None, text)], "doc_id long, text string"))
     assert {r["doc_id"]: r["n_removed"] for r in found.collect()} == {None: 0, 1: 30}
+
+
+def test_a_step_goes_when_the_next_is_there_and_crowded_anchors_move_no_words(spark, monkeypatch):
+    steps, plans, store, drop = [], [], Workspace.store, Workspace.drop
+
+    def stored(self, df, table):
+        steps.append(table)
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        assert spark.conf.get(BATCH_BYTES) == str(SLICE_BYTES)
+        return store(self, df, table)
+
+    def dropped(self, *tables):
+        steps.extend(f"-{table}" for table in tables)
+        return drop(self, *tables)
+
+    monkeypatch.setattr(Workspace, "store", stored)
+    monkeypatch.setattr(Workspace, "drop", dropped)
+    sizes = spark.conf.get(BATCH_BYTES)
+    databases = spark.sql("SHOW DATABASES").collect()
+    rows = documents(4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    smallest = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = substring_dedup(docs, crowd=3, shard_words=300)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", smallest)
+    assert steps == ["repeated", "distinct_segments", "firsts", "firsts", "-distinct_segments"]
+    for plan, kind in zip(plans[2:], ("LeftAnti", "LeftSemi"), strict=True):
+        joins = [line for line in plan.splitlines() if kind in line]
+        assert joins and all("BroadcastHashJoin" in line for line in joins)
+    assert spark.sql("SHOW DATABASES").collect() == databases
+    assert spark.conf.get(BATCH_BYTES) == sizes
+    assert {r["doc_id"]: tuple(r)[2:] for r in found.collect()} == brute(rows)
