@@ -1,7 +1,9 @@
 import random
 
+import pyarrow as pa
 import pytest
 
+from basketry.llm import substrings
 from basketry.llm.batches import BATCH_BYTES, SLICE_BYTES
 from basketry.llm.common import Workspace
 from basketry.llm.substrings import WINDOW, substring_dedup
@@ -84,3 +86,19 @@ def test_a_step_goes_when_the_next_is_there_and_crowded_anchors_move_no_words(sp
     assert spark.sql("SHOW DATABASES").collect() == databases
     assert spark.conf.get(BATCH_BYTES) == sizes
     assert {r["doc_id"]: tuple(r)[2:] for r in found.collect()} == brute(rows)
+
+
+def test_words_of_a_batch_are_split_and_hashed_together(monkeypatch):
+    texts = [" two  words ", None, "", " \t\n", "a\x0bb\x0cc\x1cd\x85\u3000e\u00a0f\r\ng", "two " * 40, "x" * 9]
+    sizes, words = substrings.split_words(pa.array([*texts, "not these"]).slice(0, len(texts)))
+    known = [substrings.words_of(t) for t in texts]
+    assert sizes.tolist() == list(map(len, known))
+    assert [w.encode() for w in words.to_pylist()] == [w for held in known for w in held]
+    hashed, digest = [], substrings.xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(substrings.xxhash, "xxh3_64_intdigest", lambda w: (hashed.append(w), digest(w))[1])
+    hashes = substrings.word_hashes(words)
+    assert hashes.tolist() == [digest(w) for held in known for w in held]
+    assert len(hashed) == len({w for held in known for w in held})
+    sizes, words = substrings.split_words(pa.array([None, ""], pa.string()))
+    assert sizes.tolist() == [0, 0] and len(words) == 0
+    assert substrings.split_words(pa.array([], pa.string()))[0].tolist() == []
